@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("text_queries", "eda_queries", "moderation_queries")
+_MODULES = ("text_queries", "eda_queries", "moderation_queries", "talk_queries")
 
 
 def load():

@@ -113,9 +113,9 @@ WITH s AS (SELECT conv_id, turn, conv_id % 26 AS h, (conv_id * 7 + turn * 11) %
   CASE (conv_id + turn) % 13 WHEN 12 THEN 'Foo' ELSE
     list_extract({list(MONTHS)}, ((conv_id + turn) % 13 + 1)::INT) END AS m, 2000 + conv_id % 25 AS y
   FROM conversations)
-SELECT conv_id, turn, strftime(try_cast(
+SELECT conv_id, turn, CASE WHEN h < 24 THEN strftime(try_cast(
   y || '-' || CASE m WHEN 'Foo' THEN 1 ELSE list_position({list(MONTHS)}, m) END || '-' || d || ' '
-  || h || ':' || (turn * 9) % 60 || ':00' AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS ts FROM s""")
+  || h || ':' || (turn * 9) % 60 || ':00' AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') END AS ts FROM s""")
 def signature(spark, sf_dir):
     conv, turn = F.col("conv_id"), F.col("turn")
     months = F.array(*[F.lit(m) for m in (*MONTHS, "Foo")])
@@ -347,7 +347,10 @@ def decision_override(spark, sf_dir):
 
 
 @query("stale_explanations", f"""{Q.SCORED}
-SELECT id FROM scored WHERE doc_id % 4 IN (0, 1) OR doc_id % 4 = 2""")
+SELECT id FROM (SELECT id,
+  CASE doc_id % 4 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE 1 END AS n_top,
+  CASE doc_id % 4 WHEN 2 THEN 'v0' ELSE 'v1' END AS version FROM scored)
+WHERE coalesce(n_top, 0) = 0 OR version <> 'v1'""")
 def stale_explanations(spark, sf_dir):
     kind = F.col("doc_id") % 4
     one = F.array(F.struct(F.lit("char_count").alias("feature"), F.lit(1.0).alias("value")))
