@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("text_queries", "eda_queries", "moderation_queries", "talk_queries")
+_MODULES = (
+    "text_queries", "eda_queries", "moderation_queries", "talk_queries", "model_queries",
+)
 
 
 def load():
