@@ -88,21 +88,29 @@ def classification_report(preds: DataFrame) -> DataFrame:
 
 # --- curves -----------------------------------------------------------------
 
-def ranked_scores(preds: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Per distinct score, highest first: its counts and the counts so far.
+def score_counts(preds: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``(keys..., y_score, pos, neg)`` per distinct score.
 
-    Columns: keys, ``threshold, pos, neg, tp, fp, _chunk, _neg_score``.  ``keys``
-    must be few (models, features), see ``prefix.with_chunks``.
+    Rows without a score drop out after the aggregation: a filter on the score
+    before it would compute every score twice.
     """
-    keys = keys or []
-    counts = (
-        preds.filter(F.col("y_score").isNotNull())
-        .groupBy(*keys, "y_score")
-        .agg(F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") == 0).alias("neg"))
-        .withColumn("_neg_score", -F.col("y_score"))
+    scored = F.col("y_score").isNotNull()
+    counts = preds.groupBy(*(keys or []), "y_score").agg(
+        F.count_if(scored & (F.col("y_true") == 1)).alias("pos"),
+        F.count_if(scored & (F.col("y_true") == 0)).alias("neg"),
     )
+    return counts.filter(F.col("pos") + F.col("neg") > 0)
+
+
+def _ranked(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Counts so far per distinct score, highest score first.
+
+    ``keys`` must be few (models, features), see ``prefix.with_chunks``.
+    """
+    keys = keys or []
+    negated = counts.withColumn("_neg_score", -F.col("y_score"))
     return prefix.running_totals(
-        prefix.with_chunks(counts, "_neg_score", keys=keys), {"tp": "pos", "fp": "neg"},
+        prefix.with_chunks(negated, "_neg_score", keys=keys), {"tp": "pos", "fp": "neg"},
         keys=keys, chunk="_chunk", order=[F.col("_neg_score")],
     ).withColumnRenamed("y_score", "threshold")
 
@@ -117,7 +125,7 @@ def ranking_metrics(preds: DataFrame, keys: list[str] | None = None) -> DataFram
     before_tp, before = tp - pos, tp - pos + fp - neg
     precision = tp / (tp + fp)
     previous = F.when(before > 0, F.try_divide(before_tp, before)).otherwise(F.lit(1.0))
-    sums = ranked_scores(preds, keys).groupBy(*(keys or [])).agg(
+    sums = _ranked(score_counts(preds, keys), keys).groupBy(*(keys or [])).agg(
         F.sum(neg * (tp - pos / 2)).alias("_area"),
         F.sum(pos * (precision + previous) / 2).alias("_pr"),
         F.sum(pos * precision).alias("_ap"),
@@ -131,11 +139,8 @@ def ranking_metrics(preds: DataFrame, keys: list[str] | None = None) -> DataFram
     )
 
 
-def _class_totals(preds: DataFrame) -> Column:
-    scored = preds.filter(F.col("y_score").isNotNull())
-    return scored.agg(F.struct(
-        F.count_if(F.col("y_true") == 1).alias("p"), F.count_if(F.col("y_true") == 0).alias("n"),
-    ).alias("t")).scalar()
+def _class_totals(counts: DataFrame) -> Column:
+    return counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
 
 
 def roc_curve(preds: DataFrame, drop_collinear: bool = False) -> DataFrame:
@@ -144,10 +149,11 @@ def roc_curve(preds: DataFrame, drop_collinear: bool = False) -> DataFrame:
     ``drop_collinear`` leaves out points on a straight line between their
     neighbours, as plotting libraries do.
     """
-    points = ranked_scores(preds)
+    counts = score_counts(preds)
+    points = _ranked(counts)
     if drop_collinear:
         points = _corners(points)
-    total = _class_totals(preds)
+    total = _class_totals(counts)
     curve = points.select(
         "threshold",
         F.try_divide(F.col("fp").cast("double"), total["n"]).alias("fpr"),
@@ -176,9 +182,10 @@ def _corners(points: DataFrame) -> DataFrame:
 
 def pr_curve(preds: DataFrame) -> DataFrame:
     """``(threshold, precision, recall)``, closed by precision 1 at recall 0."""
-    total = _class_totals(preds)
+    counts = score_counts(preds)
+    total = _class_totals(counts)
     tp, fp = F.col("tp").cast("double"), F.col("fp")
-    curve = ranked_scores(preds).select(
+    curve = _ranked(counts).select(
         "threshold", (tp / (tp + fp)).alias("precision"),
         F.coalesce(F.try_divide(tp, total["p"]), F.lit(1.0)).alias("recall"),
     )
@@ -191,11 +198,12 @@ def pr_curve(preds: DataFrame) -> DataFrame:
 
 def f1_threshold(preds: DataFrame) -> DataFrame:
     """Score cut with the best F1; the lowest one among equals."""
-    total = _class_totals(preds)["p"]
+    counts = score_counts(preds)
+    total = _class_totals(counts)["p"]
     tp, fp = F.col("tp").cast("double"), F.col("fp")
     precision, recall = tp / (tp + fp), F.try_divide(tp, total)
     f1 = 2 * precision * recall / (precision + recall + F.lit(1e-9))
-    best = ranked_scores(preds).agg(
+    best = _ranked(counts).agg(
         F.max(F.struct(F.round(f1, 12).alias("f1"), (-F.col("threshold")).alias("t"))).alias("b")
     )
     return best.select((-F.col("b.t")).alias("threshold"), F.col("b.f1").alias("f1"))
@@ -203,11 +211,7 @@ def f1_threshold(preds: DataFrame) -> DataFrame:
 
 def calibration(preds: DataFrame, bins: int = 10) -> DataFrame:
     """Mean score and positive share per quantile bin; empty for non-probabilities."""
-    counts = (
-        preds.filter(F.col("y_score").isNotNull())
-        .groupBy("y_score")
-        .agg(F.count("*").alias("n"), F.count_if(F.col("y_true") == 1).alias("pos"))
-    )
+    counts = score_counts(preds).select("y_score", (F.col("pos") + F.col("neg")).alias("n"), "pos")
     probs = {f"e{i}": i / bins for i in range(1, bins)}
     edges = prefix.exact_quantiles(
         counts.withColumnRenamed("y_score", "value").select("value", "n"), probs, keys=[]

@@ -90,7 +90,11 @@ def with_chunks(
         picked = hashed.orderBy("_h", value).limit(sample)
         cuts = picked.agg(_cuts(F.collect_list(value), chunks).alias("_cuts")).scalar()
         placed = df.withColumn("_cuts", cuts)
-    at_or_below = F.size(F.filter("_cuts", lambda c: c <= F.col(value)))
+    # Never NULL: a nullable join key would make the optimizer push an IS NOT NULL
+    # test, and with it the computation of ``value``, below the aggregation.
+    at_or_below = F.coalesce(
+        F.size(F.filter("_cuts", lambda c: c <= F.col(value))), F.lit(0)
+    )
     return placed.withColumn("_chunk", at_or_below).drop("_cuts")
 
 
