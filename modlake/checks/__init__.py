@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = (
     "text_queries", "eda_queries", "moderation_queries", "talk_queries", "model_queries",
+    "stream_queries",
 )
 
 

@@ -54,7 +54,10 @@ def varied_text() -> Column:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    return comment_columns(spread(table(spark, sf_dir, "documents")))
+
+
+def comment_columns(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
         F.col("source").alias("article_id"),

@@ -166,7 +166,7 @@ def error_patterns(spark, sf_dir):
 # --- several models -----------------------------------------------------------
 
 # Two fixed scorers over the same comments: the linear one and a length rule.
-_MODELS_SQL = f"""{Q.PREDICTED}, both AS (
+_MODELS_SQL = f"""{Q.PREDICTED}, pair AS (
   SELECT 'linear' AS model_id, y_true, y_pred, y_score FROM preds
   UNION ALL SELECT 'profanity', toxic, CASE WHEN profanity_count >= 1 THEN 1 ELSE 0 END,
          round(profanity_count / (profanity_count + 1), 6) FROM feats)"""
@@ -184,14 +184,14 @@ def _two_models(spark, sf_dir):
 
 
 _COMPARED = """,
-g AS (SELECT model_id, y_score AS s, sum(y_true) AS pos, count(*) - sum(y_true) AS neg FROM both GROUP BY ALL),
+g AS (SELECT model_id, y_score AS s, sum(y_true) AS pos, count(*) - sum(y_true) AS neg FROM pair GROUP BY ALL),
 cum AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER v AS p, sum(neg) OVER v AS n
   FROM g WINDOW w AS (PARTITION BY model_id ORDER BY s DESC), v AS (PARTITION BY model_id)),
 rank AS (SELECT model_id, round(sum(neg * (tp - pos / 2) / (p * n)), 4) AS roc_auc,
   round(sum(pos / p * tp / (tp + fp)), 4) AS pr_auc FROM cum GROUP BY model_id),
 c AS (SELECT model_id, count(*) FILTER (y_true = 0 AND y_pred = 0) AS tn,
   count(*) FILTER (y_true = 0 AND y_pred = 1) AS fp, count(*) FILTER (y_true = 1 AND y_pred = 0) AS fn,
-  count(*) FILTER (y_true = 1 AND y_pred = 1) AS tp FROM both GROUP BY model_id),
+  count(*) FILTER (y_true = 1 AND y_pred = 1) AS tp FROM pair GROUP BY model_id),
 m AS (SELECT model_id, round((tp + tn) / (tp + tn + fp + fn), 4) AS accuracy,
   round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS recall,
@@ -258,7 +258,7 @@ def score_linear(spark, sf_dir):
   SELECT doc_id, round(1 / (1 + exp(-({Q.logit()}))), 6) AS p FROM feats
   UNION ALL SELECT doc_id, round(profanity_count / (profanity_count + 1), 6) FROM feats
   UNION ALL SELECT doc_id, CASE WHEN quality = 0 THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END FROM labels)
-SELECT doc_id, round(avg(p), 6) AS probability, CASE WHEN avg(p) > 0.5 THEN 1 ELSE 0 END AS label
+SELECT doc_id, round(avg(p), 9) AS probability, CASE WHEN avg(p) > 0.5 THEN 1 ELSE 0 END AS label
 FROM v GROUP BY doc_id""")
 def soft_vote(spark, sf_dir):
     df = I.featured(spark, sf_dir, only=I.model_features())
@@ -269,7 +269,7 @@ def soft_vote(spark, sf_dir):
         I.table(spark, sf_dir, "labels").select(
             "doc_id", F.when(F.col("quality") == 0, 0.9).otherwise(0.1).alias("probability")),
     ]
-    return rounded(L.soft_vote(members, "doc_id"), 6, "probability")
+    return rounded(L.soft_vote(members, "doc_id"), 9, "probability")
 
 
 @query("score_contract", """
@@ -400,10 +400,10 @@ def _attributions(spark, sf_dir):
     return long_attributions(df, I.MODEL, {f: mean[f] for f in MODEL_FEATURES}, ["doc_id"])
 
 
-_ATTR = f"""{Q.FEATS}, mean AS MATERIALIZED (SELECT {", ".join(f"avg({e}) AS {f}" for f, e in _STD.items())} FROM feats),
+_ATTR = f"""{Q.FEATS}, mean AS MATERIALIZED (SELECT {", ".join(f"avg({e}) AS m_{f}" for f, e in _STD.items())} FROM feats),
 kept AS MATERIALIZED (SELECT doc_id, {", ".join(MODEL_FEATURES)} FROM feats),
 attr AS ({" UNION ALL ".join(
-    f"SELECT doc_id, '{f}' AS feature, {f}::DOUBLE AS value, ({c}) * ({_STD[f].replace(f, 'kept.' + f, 1)} - mean.{f}) AS a FROM kept, mean"
+    f"SELECT doc_id, '{f}' AS feature, {f}::DOUBLE AS value, ({c}) * ({_STD[f]} - m_{f}) AS a FROM kept, mean"
     for f, (_, _, c) in I.MODEL.terms.items())})"""
 
 
@@ -417,15 +417,15 @@ def global_attribution(spark, sf_dir):
     return rounded(X.global_attribution(_attributions(spark, sf_dir)), 6, "mean_abs_attribution")
 
 
-@query("top_features", f"""{_ATTR}, x AS (SELECT *, round(abs(a), 9) AS size FROM attr),
+@query("top_features", f"""{_ATTR}, x AS (SELECT * REPLACE (round(a, 9) AS a), round(abs(a), 9) AS size FROM attr),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, feature DESC) AS rank,
       max(size) OVER (PARTITION BY doc_id) AS top FROM x)
-SELECT doc_id, rank, feature, round(value, 6) AS value, round(a, 6) AS attribution,
+SELECT doc_id, rank, feature, round(value, 6) AS value, a AS attribution,
        round(size * 100 / top, 4) AS pct_of_max FROM r WHERE rank <= 3""")
 def top_features(spark, sf_dir):
     attr = _attributions(spark, sf_dir).withColumn("attribution", F.round("attribution", 9))
     df = X.top_features(attr, "doc_id", 3)
-    return rounded(rounded(df, 6, "value", "attribution"), 4, "pct_of_max")
+    return rounded(rounded(df, 6, "value"), 4, "pct_of_max")
 
 
 def _scorer(df):

@@ -175,7 +175,7 @@ def train_l2_logistic(
 
 
 def train_linear_svm(
-    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, *, max_iter: int = 200
+    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, *, max_iter: int = 60
 ) -> Fitted:
     """Linear SVM with balanced classes; scores are margins, not probabilities."""
     n = _checked(df, label)
@@ -183,7 +183,7 @@ def train_linear_svm(
     data = _assembled(apply_scaler(with_balanced_weight(df, label), scaler), features)
     fit = LinearSVC(
         featuresCol="_x", labelCol=label, weightCol="weight", regParam=1.0 / (c * n),
-        standardization=False, maxIter=max_iter,
+        standardization=False, maxIter=max_iter, tol=1e-5,
     ).fit(data)
     coefs = [float(v) for v in fit.coefficients]
     terms = {f: (*scaler[f], v) for f, v in zip(features, coefs)}

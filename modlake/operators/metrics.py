@@ -217,8 +217,9 @@ def calibration(preds: DataFrame, bins: int = 10) -> DataFrame:
         counts.withColumnRenamed("y_score", "value").select("value", "n"), probs, keys=[]
     ).select(F.array(*probs).alias("e")).scalar()
     span = counts.agg(F.struct(F.min("y_score").alias("lo"), F.max("y_score").alias("hi")).alias("s")).scalar()
-    below = F.size(F.filter(edges, lambda e: e < F.col("y_score")))
-    binned = counts.filter((span["lo"] >= 0) & (span["hi"] <= 1)).groupBy(below.alias("bin"))
+    below = F.size(F.filter("_edges", lambda e: e < F.col("y_score")))
+    placed = counts.withColumns({"_edges": edges, "_ok": (span["lo"] >= 0) & (span["hi"] <= 1)})
+    binned = placed.filter("_ok").groupBy(below.alias("bin"))
     n = F.sum("n")
     return binned.agg(
         n.alias("count"), (F.sum("pos") / n).alias("fraction_positive"),
@@ -271,14 +272,13 @@ def error_patterns(preds: DataFrame, scaled: dict[str, Column], top: list[str])
 
 def score_histogram(preds: DataFrame, bins: int = 29) -> DataFrame:
     """Rows per outcome in equal score bins over the whole range, zeros included."""
-    span = preds.agg(F.struct(F.min("y_score").alias("lo"), F.max("y_score").alias("hi")).alias("s")).scalar()
+    counts = preds.groupBy(outcome().alias("outcome"), "y_score").agg(F.count("*").alias("n"))
+    span = counts.agg(F.struct(F.min("y_score").alias("lo"), F.max("y_score").alias("hi")).alias("s")).scalar()
     low, high = span["lo"], span["hi"]
     place = F.when(low == high, F.lit(bins - 1)).otherwise(
         bin_index(F.col("y_score"), low, high, bins)
     )
-    counted = preds.groupBy(outcome().alias("outcome"), place.alias("bin")).agg(
-        F.count("*").alias("count")
-    )
+    counted = counts.groupBy("outcome", place.alias("bin")).agg(F.sum("n").alias("count"))
     grid = preds.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(o) for o in ("FP", "TN", "FN", "TP")])).alias("outcome")
     ).select("outcome", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the cluster's shared checkpoint folder."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if base is None:
+        return tempfile.mkdtemp(prefix=f"modlake-{name}-")
+    return f"{base.rstrip('/')}/modlake-{name}-{uuid.uuid4().hex}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input that is too small to be split by the scan.
 
