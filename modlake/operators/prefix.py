@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 CHUNKS = 128
 SAMPLE = 4096
+STEP = 12
 
 
 def running_totals(
@@ -47,7 +48,7 @@ def running_totals(
     starts = per_chunk.select(
         *keys, chunk, *[F.sum(f"_t_{out}").over(before).alias(f"_s_{out}") for out in sums]
     )
-    joined = local.join(starts, [*keys, chunk])
+    joined = local.join(starts, [*keys, chunk], "left")
     zero = F.lit(0)
     return joined.withColumns(
         {out: F.col(out) + F.coalesce(F.col(f"_s_{out}"), zero) for out in sums}
@@ -64,6 +65,10 @@ def _cuts(sample: Column, chunks: int) -> Column:
     )
 
 
+def _every(cuts: Column) -> Column:
+    return F.filter(cuts, lambda c, i: i % STEP == 0)
+
+
 def with_chunks(
     df: DataFrame, value: str, *, keys: list[str], chunks: int = CHUNKS, sample: int = SAMPLE
 ) -> DataFrame:
@@ -84,18 +89,33 @@ def with_chunks(
             .filter(F.col("_rn") <= sample)
             .groupBy(*keys)
             .agg(_cuts(F.collect_list(value), chunks).alias("_cuts"))
+            .withColumn("_every", _every(F.col("_cuts")))
         )
-        placed = df.join(F.broadcast(cuts), keys)
+        # A left join adds no IS NOT NULL test, so both branches keep the same input
+        # plan and Spark runs their common shuffle once.
+        placed = df.join(F.broadcast(cuts), keys, "left")
     else:
         picked = hashed.orderBy("_h", value).limit(sample)
-        cuts = picked.agg(_cuts(F.collect_list(value), chunks).alias("_cuts")).scalar()
-        placed = df.withColumn("_cuts", cuts)
+        both = (
+            picked.agg(_cuts(F.collect_list(value), chunks).alias("_cuts"))
+            .select(F.struct("_cuts", _every(F.col("_cuts")).alias("_every")).alias("c"))
+            .scalar()
+        )
+        placed = df.withColumn("_c", both).select(*df.columns, "_c._cuts", "_c._every")
+    return _locate(placed, value)
+
+
+def _locate(df: DataFrame, value: str) -> DataFrame:
+    """Number of cuts at or below the value: first among every 12th, then inside."""
+    def reached(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= F.col(value)))
+
+    block = df.withColumn("_start", F.greatest(reached(F.col("_every")) - 1, F.lit(0)) * STEP)
+    inside = reached(F.slice("_cuts", F.col("_start") + 1, F.lit(STEP)))
     # Never NULL: a nullable join key would make the optimizer push an IS NOT NULL
     # test, and with it the computation of ``value``, below the aggregation.
-    at_or_below = F.coalesce(
-        F.size(F.filter("_cuts", lambda c: c <= F.col(value))), F.lit(0)
-    )
-    return placed.withColumn("_chunk", at_or_below).drop("_cuts")
+    chunk = F.coalesce(F.col("_start") + inside, F.lit(0))
+    return block.withColumn("_chunk", chunk).drop("_cuts", "_every", "_start")
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -114,7 +134,7 @@ def exact_quantiles(
     )
     if keys:
         totals = counts.groupBy(*keys).agg(F.sum("n").alias("_n"))
-        ranked = ranked.join(F.broadcast(totals), keys)
+        ranked = ranked.join(F.broadcast(totals), keys, "left")
     else:
         ranked = ranked.withColumn("_n", counts.agg(F.sum("n").alias("_n")).scalar())
 
