@@ -371,7 +371,7 @@ def best_hyperparams(spark, sf_dir):
 @query("feature_ablation")
 def feature_ablation(spark, sf_dir):
     df = _training(spark, sf_dir)
-    split = L.stratified_split(df, "doc_id", "toxic")
+    split = L.stratified_split(df, "doc_id", "toxic").persist()
     return L.feature_ablation(
         split.filter("split = 'train'"), split.filter("split = 'test'"), MODEL_FEATURES, "toxic",
         "doc_id", tops=(3,), trees=10, max_depth=5,

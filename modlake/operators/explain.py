@@ -139,9 +139,9 @@ def permutation_importance(
     rows = shuffled.select("y_true", "repeat", F.inline(variants))
     lost = ranking_metrics(scorer(rows), ["feature", "repeat"]).select("feature", "roc_auc")
     base = ranking_metrics(scorer(df)).select("roc_auc").scalar()
-    return lost.groupBy("feature").agg(
-        F.avg(base - F.col("roc_auc")).alias("importance"),
-        F.stddev_pop(base - F.col("roc_auc")).alias("std"),
+    drops = lost.withColumn("_drop", base - F.col("roc_auc"))
+    return drops.groupBy("feature").agg(
+        F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("std")
     )
 
 

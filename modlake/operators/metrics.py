@@ -203,8 +203,10 @@ def f1_threshold(preds: DataFrame) -> DataFrame:
     tp, fp = F.col("tp").cast("double"), F.col("fp")
     precision, recall = tp / (tp + fp), F.try_divide(tp, total)
     f1 = 2 * precision * recall / (precision + recall + F.lit(1e-9))
-    best = _ranked(counts).agg(
-        F.max(F.struct(F.round(f1, 12).alias("f1"), (-F.col("threshold")).alias("t"))).alias("b")
+    # Spark ML scores count as non-deterministic, so the total must not stand
+    # inside the aggregate function.
+    best = _ranked(counts).withColumn("_f1", F.round(f1, 12)).agg(
+        F.max(F.struct(F.col("_f1").alias("f1"), (-F.col("threshold")).alias("t"))).alias("b")
     )
     return best.select((-F.col("b.t")).alias("threshold"), F.col("b.f1").alias("f1"))
 
