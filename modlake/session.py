@@ -34,19 +34,6 @@ def local_session(cores: str | int = 8, name: str = "modlake", **extra: str) ->
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder is the one the session names; only where none is set (tests) a
-    temporary one is made.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="modlake-"))
-    return df.checkpoint()
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
