@@ -100,12 +100,10 @@ def _comments(spark, sf_dir, limit=None):
     return talk.wikitext_comments(talk_pages(spark, sf_dir), keep=["doc_id"], limit=limit)
 
 
-_STAMP = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
-
-
 @query("talk_comments", f"WITH {COMMENTS} SELECT * FROM comments")
 def talk_comments(spark, sf_dir):
-    return _comments(spark, sf_dir).withColumn("ts", _STAMP).drop("timestamp")
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
+    return _comments(spark, sf_dir).withColumn("ts", stamp).drop("timestamp")
 
 
 @query("talk_comments_limited", f"""WITH {COMMENTS}

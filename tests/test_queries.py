@@ -5,6 +5,8 @@ A broad selection runs by default; MODLAKE_ALL=1 runs every query that has SQL.
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -56,3 +58,9 @@ def test_same_rows(spark, duck, name):
 def test_entry_is_registered(spark):
     assert entry_module.entry(spark).count() > 0
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+def test_registry_needs_no_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 140 and len(e.oracle_sql()) > 130"
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
