@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of the tokenizer files; a parameter of every operator that needs one.
@@ -20,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about ``limit`` text bytes each."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     part = np.cumsum(sizes, dtype=np.int64) // limit
     edges = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
@@ -30,7 +31,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of a column as one byte array, and the n + 1 offsets; null is empty."""
-    filled = pa.compute.fill_null(column, "").cast(pa.large_string())
+    filled = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = filled.buffers()
     ends = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + len(filled) + 1]
     if data is None or not len(filled):
