@@ -7,7 +7,9 @@ from modlake.llm.chat import SQL as CHAT_SQL
 from modlake.llm.chat import op4_chat_format
 from modlake.llm.decontaminate import op10_decontamination
 from modlake.llm.language import op5_language_id
+from modlake.llm.near_duplicates import op1_near_duplicates
 from modlake.llm.pii import op9_personal_data
+from modlake.llm.repeats import op2_repeated_passages
 from modlake.llm.secrets import op3_secret_scan
 from modlake.llm.sketch import op8_fingerprints
 from modlake.llm.token_files import op6_token_files
@@ -15,8 +17,8 @@ from modlake.llm.token_files import op6_token_files
 QUERIES = {
     fn.__name__: fn
     for fn in (
-        op3_secret_scan, op4_chat_format, op5_language_id, op6_token_files, op7_bpe_round_trip, op8_fingerprints,
-        op9_personal_data, op10_decontamination,
+        op1_near_duplicates, op2_repeated_passages, op3_secret_scan, op4_chat_format, op5_language_id, op6_token_files,
+        op7_bpe_round_trip, op8_fingerprints, op9_personal_data, op10_decontamination,
     )
 }
 SQL = {"op4_chat_format": CHAT_SQL.strip()}
