@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from modlake.llm.common import TOKENIZERS, key_text, map_arrow, table
+from modlake.llm.common import TOKENIZERS, Recent, key_text, map_arrow, table
 
 #: Words a worker remembers.
 CACHE_WORDS = 400_000
@@ -62,7 +62,7 @@ class Codec:
         self.special = special
         self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(CACHE_WORDS)
 
     def merged(self, text: bytes) -> list[bytes]:
         """Plain merging by rank, for the pair test on two tokens only."""
@@ -114,11 +114,10 @@ class Codec:
     def plain_ids(self, text: str) -> bytes:
         known, parts = self.known, []
         for word in self.words.findall(text):
-            ids = known.get(word)
+            ids = known.new.get(word) or known.get(word)
             if ids is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                ids = known[word] = np.array(self.encode_word(word.encode()), "<u4").tobytes()
+                ids = np.array(self.encode_word(word.encode()), "<u4").tobytes()
+                known.put(word, ids)
             parts.append(ids)
         return b"".join(parts)
 

@@ -63,3 +63,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def key_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names and types."""
     return df.selectExpr(f"cast(`{key}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
+
+
+class Recent:
+    """A bounded memory of values in two generations; what is asked for again survives."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value

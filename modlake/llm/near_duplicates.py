@@ -11,7 +11,8 @@ time by which all slots are full are never drawn, so the work is near linear in
 Texts of equal multisets form one group first.  Group representatives meet in bands of the signature;
 in each band bucket all members are compared with a centre (the member that shares most buckets),
 by multiset overlap of the real shingles.  Members of a bucket that are then still in different
-classes are compared directly, so that no pair that shares a bucket stays unseen unless it is already in one class.
+classes are compared directly, unless their counts of shingles that any other member has rule
+a link out; so no link between documents that share a bucket is lost.
 Classes are the connected components of the verified links.
 
 Null texts and texts without a word have no shingle and are classes of their own.  Rows that
@@ -209,6 +210,30 @@ def components(edges: DataFrame, scratch: str) -> DataFrame:
             return after.selectExpr("u as node", "v as root")
 
 
+def reach(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """rep, its shingle count n and the largest count a similar document among the members can have.
+
+    A partner can share only shingles that some other member has.  If those are s of n, a
+    partner of m shingles has a similarity of at most s / (n + m - s), which bounds m.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                row, key, n = shingles(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(row)), pa.array(key.view(np.int64)), pa.array(n)], names=["rep", "key", "n"]
+                )
+
+    texts = key_text(docs).join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    parts = texts.mapInArrow(work, "rep bigint, key bigint, n bigint").dropDuplicates(["rep", "key"])
+    known = parts.groupBy("key").agg(F.count("*").alias("docs")).filter("docs > 1").withColumn("shared", F.lit(1))
+    counted = parts.join(known, "key", "left").groupBy("rep").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("shared") == 1, F.col("n")).otherwise(0)).alias("s")
+    )
+    return counted.select("rep", "n", (F.col("s") * ((1 + similarity) / similarity) - F.col("n") + 1e-6).alias("most"))
+
+
 def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id and class_id, the smallest doc_id of its class."""
     spark = docs.sparkSession
@@ -237,9 +262,13 @@ def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands
     root = components(links, f"{scratch}/first")
     placed = members.join(root, members.rep == root.node, "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
-    rest = placed.join(mixed, "band")
-    left, right = rest.withColumnsRenamed({"rep": "a", "root": "ra"}), rest.withColumnsRenamed({"rep": "b", "root": "rb"})
-    more = left.join(right, "band").filter("a < b and ra <> rb").select("a", "b").distinct()
+    placed.join(mixed, "band").write.parquet(f"{scratch}/mixed")
+    rest = spark.read.parquet(f"{scratch}/mixed")
+    rest = rest.join(reach(rest.select("rep").distinct(), docs, similarity), "rep").select("band", "rep", "root", "n", "most")
+    left = rest.withColumnsRenamed({"rep": "a", "root": "ra", "n": "na", "most": "ma"})
+    right = rest.withColumnsRenamed({"rep": "b", "root": "rb", "n": "nb", "most": "mb"}).withColumnRenamed("band", "band_b")
+    fits = "band = band_b and a < b and ra <> rb and nb <= ma and na <= mb"
+    more = left.join(right, F.expr(fits)).select("a", "b").distinct()
     seen = spark.read.parquet(f"{scratch}/pairs")
     more.join(seen, ["a", "b"], "left_anti").write.parquet(f"{scratch}/pairs2")
     verified(spark.read.parquet(f"{scratch}/pairs2"), docs, similarity).write.parquet(f"{scratch}/links2")

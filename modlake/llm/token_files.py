@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from modlake.llm.common import TOKENIZERS, key_text, table
+from modlake.llm.common import TOKENIZERS, Recent, key_text, table
 from modlake.session import scratch_folder
 
 #: Raw bytes after which a frame is closed.
 FRAME_BYTES = 1 << 20
 #: White-space-separated strings a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 SKIPPABLE, MAGIC = 0x184D2A5E, 0x5A544944
 DOC, FRAME, FOOT = "<qIII", "<QIII", "<IIII"
 
@@ -46,17 +46,19 @@ class Encoder:
     """
 
     def __init__(self, path: str, end_id: int) -> None:
+        import os
         import re
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(CACHE_WORDS)
         self.end = np.array([end_id], "<u4").tobytes()
         self.special = re.compile(
-            "|".join([r"[\x00-\x08\x0e-\x1f\x7f-\x9f̀-ͯ᠎​-‏﻿]"]
+            "|".join([r"[\x00-\x08\x0e-\x1f\x7f-\x9f\u0130\u03a3\u0300-\u036f\u180e\u200b-\u200f\ufeff]"]
                      + [re.escape(str(t)) for t in self.tokenizer.get_added_tokens_decoder().values()
                         for t in [t.content]])
         )
@@ -65,15 +67,27 @@ class Encoder:
         if self.special.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes() + self.end
-        known, words = self.known, text.split()
-        fresh = [w for w in dict.fromkeys(words) if w not in known]
-        if fresh:
-            if len(known) + len(fresh) > CACHE_WORDS:
-                known.clear()
-                fresh = list(dict.fromkeys(words))
-            for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words]) + self.end
+        known, words = self.known, text.lower().split()
+        fresh = dict.fromkeys(words)
+        for w in fresh:
+            fresh[w] = known.new.get(w) or known.get(w)
+        unknown = [w for w, ids in fresh.items() if ids is None]
+        if unknown:
+            # A word of letters and its closing mark are two strings to the tokenizer.
+            cut = [w for w in unknown if w[-1] in ",." and w[:-1].isalpha()]
+            bare = dict.fromkeys(w[:-1] for w in cut)
+            ask = [w for w in unknown if not (w[-1] in ",." and w[:-1].isalpha()) and w not in bare]
+            ask += [w for w in bare if not fresh.get(w)] + [","] * (not known.get(",")) + ["."] * (not known.get("."))
+            got = {}
+            for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False), strict=True):
+                got[w] = np.array(e.ids, "<u4").tobytes()
+                known.put(w, got[w])
+            for w in cut:
+                stem = got.get(w[:-1]) or fresh[w[:-1]]
+                got[w] = stem + (got.get(w[-1]) or known.get(w[-1]))
+                known.put(w, got[w])
+            fresh |= {w: got[w] for w in unknown}
+        return b"".join(map(fresh.__getitem__, words)) + self.end
 
 
 def _fs(folder: str):
