@@ -19,6 +19,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from modlake.llm.bpe import byte_letters
 from modlake.llm.common import TOKENIZERS, Recent, key_text, table
 from modlake.session import scratch_folder
 
@@ -57,6 +59,10 @@ class Encoder:
         self.tokenizer.no_padding()
         self.known = Recent(CACHE_WORDS)
         self.end = np.array([end_id], "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.letters = {b: c for c, b in byte_letters().items()}
+        #: Lower-case Latin letters that normalisation leaves alone, and perhaps a mark after them.
+        self.plain = re.compile("([a-z\u00df-\u00f6\u00f8-\u017f]+)([.,])?")
         self.special = re.compile(
             "|".join([r"[\x00-\x08\x0e-\x1f\x7f-\x9f\u0130\u03a3\u0300-\u036f\u180e\u200b-\u200f\ufeff]"]
                      + [re.escape(str(t)) for t in self.tokenizer.get_added_tokens_decoder().values()
@@ -68,26 +74,24 @@ class Encoder:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes() + self.end
         known, words = self.known, text.lower().split()
-        fresh = dict.fromkeys(words)
-        for w in fresh:
-            fresh[w] = known.new.get(w) or known.get(w)
-        unknown = [w for w, ids in fresh.items() if ids is None]
-        if unknown:
-            # A word of letters and its closing mark are two strings to the tokenizer.
-            cut = [w for w in unknown if w[-1] in ",." and w[:-1].isalpha()]
-            bare = dict.fromkeys(w[:-1] for w in cut)
-            ask = [w for w in unknown if not (w[-1] in ",." and w[:-1].isalpha()) and w not in bare]
-            ask += [w for w in bare if not fresh.get(w)] + [","] * (not known.get(",")) + ["."] * (not known.get("."))
-            got = {}
-            for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False), strict=True):
-                got[w] = np.array(e.ids, "<u4").tobytes()
-                known.put(w, got[w])
-            for w in cut:
-                stem = got.get(w[:-1]) or fresh[w[:-1]]
-                got[w] = stem + (got.get(w[-1]) or known.get(w[-1]))
-                known.put(w, got[w])
-            fresh |= {w: got[w] for w in unknown}
-        return b"".join(map(fresh.__getitem__, words)) + self.end
+        ids = list(map(known.new.get, words))
+        if None in ids:
+            ids = [i or known.get(w) or self.word(w) for i, w in zip(ids, words, strict=True)]
+        return b"".join(ids) + self.end
+
+    def word(self, word: str) -> bytes:
+        """Ids of one string without white space; letters and a closing mark are two parts of it."""
+        plain = self.plain.fullmatch(word)
+        if not plain:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        elif plain[2]:
+            ids = (self.known.get(plain[1]) or self.word(plain[1])) + (self.known.get(plain[2]) or self.word(plain[2]))
+        else:
+            # The tokenizer's own model, on the letters that stand for the word's bytes.
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self.known.put(word, ids)
+        return ids
 
 
 def _fs(folder: str):
