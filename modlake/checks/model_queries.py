@@ -412,9 +412,9 @@ def linear_attribution(spark, sf_dir):
     return rounded(_attributions(spark, sf_dir), 6, "value", "attribution")
 
 
-@query("global_attribution", f"{_ATTR} SELECT feature, round(avg(abs(a)), 6) AS mean_abs_attribution FROM attr GROUP BY feature")
+@query("global_attribution", f"{_ATTR} SELECT feature, round(avg(abs(a)), 9) AS mean_abs_attribution FROM attr GROUP BY feature")
 def global_attribution(spark, sf_dir):
-    return rounded(X.global_attribution(_attributions(spark, sf_dir)), 6, "mean_abs_attribution")
+    return rounded(X.global_attribution(_attributions(spark, sf_dir)), 9, "mean_abs_attribution")
 
 
 @query("top_features", f"""{_ATTR}, x AS (SELECT * REPLACE (round(a, 9) AS a), round(abs(a), 9) AS size FROM attr),

@@ -26,11 +26,17 @@ from modlake.operators.metrics import basic_metrics, classification_report, f1_t
 from modlake.operators.prefix import running_totals
 
 BUCKETS = 1_000_000
-MAX_DEPTH = 30  # Spark's limit; stands for "no limit"
+MAX_DEPTH = 30  # Spark's limit; stands for no limit given
 
 
 # --- split and weights --------------------------------------------------------
 
+def _labelled(df: DataFrame, label: str) -> DataFrame:
+    """Refuse rows without a label when they are read, so that none vanishes in a join."""
+    missing = F.raise_error(F.lit(f"a row has no {label}"))
+    return df.withColumn(label, F.coalesce(F.col(label), missing))
+
+
 def stratified_split(
     df: DataFrame, key: str, label: str, train_share: float = 0.8, seed: int = 42
 ) -> DataFrame:
@@ -41,7 +47,7 @@ def stratified_split(
     bucket counts (bounded) are ranked.
     """
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(BUCKETS))
-    placed = df.withColumn("_b", bucket)
+    placed = _labelled(df, label).withColumn("_b", bucket)
     counts = (
         placed.groupBy(label, "_b").agg(F.count("*").alias("_n"))
         .withColumn("_c", F.floor(F.col("_b") / 4096))
@@ -71,8 +77,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_balanced_weight(df: DataFrame, label: str) -> DataFrame:
     """Add ``weight``; the weight table has one row per class."""
-    weights = class_weights(df, label).select(label, "weight")
-    return df.join(F.broadcast(weights), label)
+    rows = _labelled(df, label)
+    weights = class_weights(rows, label).select(label, "weight")
+    return rows.join(F.broadcast(weights), label)
 
 
 # --- scaling ------------------------------------------------------------------
@@ -203,12 +210,14 @@ def train_random_forest(
     A node is split only if both halves keep at least ``min_split // 2`` rows,
     the nearest Spark has to a minimum size of the node itself.
     """
+    if max_depth is not None and not 0 <= max_depth <= MAX_DEPTH:
+        raise ValueError(f"max_depth must be from 0 to {MAX_DEPTH}, or None")
     _checked(df, label)
     scaler = fitted_scaler(df, features)
     data = _assembled(apply_scaler(with_balanced_weight(df, label), scaler), features)
     fit = RandomForestClassifier(
         featuresCol="_x", labelCol=label, weightCol="weight", numTrees=trees,
-        maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH), minInstancesPerNode=max(1, min_split // 2),
+        maxDepth=MAX_DEPTH if max_depth is None else max_depth, minInstancesPerNode=max(1, min_split // 2),
         featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=False,
     ).fit(data)
 

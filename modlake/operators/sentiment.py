@@ -18,6 +18,8 @@ def valence_lookup(
 ) -> tuple[DataFrame, Callable[[Column], Column]]:
     """Return ``(df, token -> valence)`` for either lexicon form and any size."""
     if isinstance(lexicon, DataFrame):
+        # One rule for any size: gaps are no entries, and the largest valence of a term holds.
+        lexicon = lexicon.dropna(subset=["term", "valence"]).groupBy("term").agg(F.max("valence").alias("valence"))
         # Reads at most the bound plus one row, whatever the table holds.
         head = lexicon.select("term", "valence").take(MAX_LITERAL_TERMS + 1)
         if len(head) > MAX_LITERAL_TERMS:

@@ -193,7 +193,7 @@ def dense_features(
     })
     base = base.withColumns(_counts(lexicons)).withColumns(_derived(lexicons))
     if any(f.startswith("vader_") for f in wanted):
-        base, lookup = valence_lookup(base, "_text", sentiment or S.SEED_LEXICON)
+        base, lookup = valence_lookup(base, "_text", S.SEED_LEXICON if sentiment is None else sentiment)
         base = _sentiment_stages(base, lookup)
         base = base.withColumns(
             sentiment_derived(

@@ -11,6 +11,9 @@ from modlake.plans.features import dense_features
 from modlake.plans.moderation import moderate
 from modlake.sources.store import write_batch
 
+#: Batch numbers that one ingest may use.
+MAX_MICRO_BATCHES = 1_000_000_000
+
 
 def score_comments(
     comments: DataFrame, model: LinearModel, auto: float, manual: float, version: str = "v1"
@@ -23,12 +26,15 @@ def score_comments(
 
 def start_ingest(
     comments: DataFrame, model: LinearModel, store: str, checkpoint: str,
-    auto: float, manual: float,
+    auto: float, manual: float, snapshot: int = 0,
 ) -> StreamingQuery:
-    """Score a stream into the store; a replayed micro-batch replaces itself."""
+    """Score a stream into one snapshot of the store; a replayed micro-batch replaces itself.
+
+    Ingests into one store need numbers of their own: micro-batches count from 0 in each.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, store, batch_id)
+        write_batch(batch, store, snapshot * MAX_MICRO_BATCHES + batch_id, snapshot)
 
     return (
         score_comments(comments, model, auto, manual).writeStream.foreachBatch(save)

@@ -109,3 +109,35 @@ def test_csv_round_trip(spark, tmp_path):
     for kind in ("json", "csv", "txt"):
         export.write_comments(df, str(tmp_path / kind), kind)
     assert len(export.csv_projection(df).first()["text"]) == 200
+
+
+def stored_rows(spark, first, last):
+    return spark.range(first, last).selectExpr(
+        "cast(id as string) as id", "cast(id % 3 as string) as article_id", "0.5D as toxicity", "'pending' as decision"
+    )
+
+
+def test_replay_with_fewer_rows_replaces_the_batch(spark, tmp_path):
+    root = str(tmp_path / "replay")
+    store.write_batch(stored_rows(spark, 0, 300), root, 0)
+    store.write_batch(stored_rows(spark, 0, 30), root, 0)
+    assert store.read_current(spark, root).count() == 30
+
+
+def test_micro_batches_of_one_snapshot_add_up(spark, tmp_path):
+    root = str(tmp_path / "micro")
+    store.write_batch(stored_rows(spark, 0, 100), root, 0, snapshot=0)
+    store.write_batch(stored_rows(spark, 90, 200), root, 1, snapshot=0)
+    assert store.read_current(spark, root).count() == 200
+    assert store.read_article(spark, root, "1").count() == 67
+    store.write_batch(stored_rows(spark, 0, 3), root, 2, snapshot=2)
+    assert store.read_current(spark, root).count() == 3
+
+
+def test_rows_without_a_label_are_refused(spark):
+    from modlake.operators.learn import stratified_split, with_balanced_weight
+
+    rows = spark.createDataFrame([(1, 1), (2, 0), (3, None)], "id long, y int")
+    for made in (stratified_split(rows, "id", "y"), with_balanced_weight(rows, "y")):
+        with pytest.raises(Exception, match="no y"):
+            made.collect()
