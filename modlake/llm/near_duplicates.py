@@ -11,8 +11,8 @@ time by which all slots are full are never drawn, so the work is near linear in
 Texts of equal multisets form one group first.  Group representatives meet in bands of the signature;
 in each band bucket all members are compared with a centre (the member that shares most buckets),
 by multiset overlap of the real shingles.  Members of a bucket that are then still in different
-classes are compared directly, unless their counts of shingles that any other member has rule
-a link out; so no link between documents that share a bucket is lost.
+classes are compared block by block in products of their shingle matrices, so no link between
+documents that share a bucket is lost and no pair is written but the links found.
 Classes are the connected components of the verified links.
 
 Null texts and texts without a word have no shingle and are classes of their own.  Rows that
@@ -34,6 +34,8 @@ from modlake.session import scratch_folder
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 SLICE = 1 << 20
+#: Rows and shingles of one block of a bucket, and columns of one matrix product.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 2048
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -213,28 +215,97 @@ def components(edges: DataFrame, scratch: str) -> DataFrame:
         before = seen
 
 
-def reach(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """rep, its shingle count n and the largest count a similar document among the members can have.
-
-    A partner can share only shingles that some other member has.  If those are s of n, a
-    partner of m shingles has a similarity of at most s / (n + m - s), which bounds m.
-    """
+def bags(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """rep and the hashes of its shingles; a shingle's further copies have hashes of their own."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                row, key, n = shingles(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(row)), pa.array(key.view(np.int64)), pa.array(n)], names=["rep", "key", "n"]
-                )
+                row, key, weight = shingles(part.column("text").to_pylist())
+                first = np.repeat(np.cumsum(weight) - weight, weight)
+                copy = (np.arange(len(first)) - first).astype(np.uint64)
+                flat = mix(np.repeat(key, weight) + copy * C1)
+                ends = np.searchsorted(np.repeat(row, weight), np.arange(part.num_rows + 1)).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), keys], names=["rep", "keys"])
 
     texts = key_text(docs).join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    parts = texts.mapInArrow(work, "rep bigint, key bigint, n bigint").dropDuplicates(["rep", "key"])
-    known = parts.groupBy("key").agg(F.count("*").alias("docs")).filter("docs > 1").withColumn("shared", F.lit(1))
-    counted = parts.join(known, "key", "left").groupBy("rep").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("shared") == 1, F.col("n")).otherwise(0)).alias("s")
+    return texts.mapInArrow(work, "rep bigint, keys array<bigint>")
+
+
+def tile_links(reps: np.ndarray, roots: np.ndarray, flat: np.ndarray, sizes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the links between members of different roots.
+
+    Members outside the commonest root meet all members in products of 0/1 matrices, a slice of
+    the shared shingles at a time, so every pair of different roots is compared exactly.
+    """
+    m, who = len(reps), np.repeat(np.arange(len(reps)), sizes)
+    _, root = np.unique(roots, return_inverse=True)
+    outside = np.flatnonzero(root != np.bincount(root).argmax())
+    if not len(outside):
+        return []
+    _, code, seen = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1
+    held = seen[code] > 1
+    who, code = who[held], number[code[held]]
+    order = np.argsort(code, kind="stable")
+    who, code = who[order], code[order]
+    both = np.zeros((len(outside), m))
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(code, [low, low + COLUMNS])
+        x = np.zeros((m, COLUMNS), np.float32)
+        x[who[a:b], code[a:b] - low] = 1
+        both += x[outside] @ x.T
+    union = sizes[outside][:, None] + sizes[None, :] - both
+    good = (both / np.maximum(union, 1) >= similarity) & (root[outside][:, None] != root[None, :])
+    linked = np.zeros((m, m), bool)
+    linked[outside] = good
+    linked |= linked.T
+    found, met = [], np.zeros(m, bool)
+    for start in np.flatnonzero(linked.any(axis=1)):
+        if met[start]:
+            continue
+        met[start], open_nodes = True, [start]
+        while open_nodes:
+            x = open_nodes.pop()
+            fresh = np.flatnonzero(linked[x] & ~met)
+            met[fresh] = True
+            found += [(int(reps[x]), int(reps[y])) for y in fresh]
+            open_nodes.extend(fresh.tolist())
+    return found
+
+
+def bucket_links(rest: DataFrame, docs: DataFrame, similarity: float, scratch: str) -> DataFrame:
+    """Links (a, b) between members (band, rep, root) of one bucket that are in different roots.
+
+    A bucket is cut into blocks of bounded rows and shingles, and each two blocks meet in one
+    tile.  A tile returns at most one link per member, never its pairs.
+    """
+
+    def work(tile: pa.Table) -> pa.Table:
+        tile = tile.combine_chunks()
+        keys = tile.column("keys").combine_chunks()
+        sizes = np.diff(keys.offsets.to_numpy())
+        flat = keys.flatten().to_numpy(zero_copy_only=False)
+        links = tile_links(tile.column("rep").to_numpy(), tile.column("root").to_numpy(), flat, sizes, similarity)
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    bags(docs, rest.select("rep").distinct()).withColumn("n", F.size("keys")).write.parquet(f"{scratch}/bags")
+    held = rest.sparkSession.read.parquet(f"{scratch}/bags")
+    sums = rest.join(held.select("rep", "n"), "rep").groupBy("band").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")),
+    )
+    tiles = rest.join(sums, "band").join(held, "rep").withColumn("block", block).withColumn("tile", F.explode(others))
+    return (
+        tiles.select("band", "tile.i", "tile.j", "rep", "root", "keys").groupBy("band", "i", "j")
+        .applyInArrow(work, "a bigint, b bigint").distinct()
     )
-    return counted.select("rep", "n", (F.col("s") * ((1 + similarity) / similarity) - F.col("n") + 1e-6).alias("most"))
 
 
 def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -266,15 +337,7 @@ def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands
     placed = members.join(root, members.rep == root.node, "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
     placed.join(mixed, "band").write.parquet(f"{scratch}/mixed")
-    rest = spark.read.parquet(f"{scratch}/mixed")
-    rest = rest.join(reach(rest.select("rep").distinct(), docs, similarity), "rep").select("band", "rep", "root", "n", "most")
-    left = rest.withColumnsRenamed({"rep": "a", "root": "ra", "n": "na", "most": "ma"})
-    right = rest.withColumnsRenamed({"rep": "b", "root": "rb", "n": "nb", "most": "mb"}).withColumnRenamed("band", "band_b")
-    fits = "band = band_b and a < b and ra <> rb and nb <= ma and na <= mb"
-    more = left.join(right, F.expr(fits)).select("a", "b").distinct()
-    seen = spark.read.parquet(f"{scratch}/pairs")
-    more.join(seen, ["a", "b"], "left_anti").write.parquet(f"{scratch}/pairs2")
-    verified(spark.read.parquet(f"{scratch}/pairs2"), docs, similarity).write.parquet(f"{scratch}/links2")
+    bucket_links(spark.read.parquet(f"{scratch}/mixed"), docs, similarity, scratch).write.parquet(f"{scratch}/links2")
     root = components(links.unionAll(spark.read.parquet(f"{scratch}/links2")), f"{scratch}/second")
     grouped = reps.join(root, reps.rep == root.node, "left").select("digest", F.coalesce("root", "rep").alias("class_id"))
     return of.join(grouped, "digest", "left").select("doc_id", F.coalesce("class_id", "alone").alias("class_id"))

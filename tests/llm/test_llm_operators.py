@@ -67,6 +67,29 @@ def test_near_duplicates_match_brute_force(spark, docs, empty, tmp_path_factory)
     assert near_duplicates.classes(empty, folder(tmp_path_factory)).count() == 0
 
 
+def test_links_between_blocks_of_a_bucket_are_all_found(spark, tmp_path, monkeypatch):
+    """Near copies of one text in one bucket, over many blocks: the same components as brute force."""
+    r, base = random.Random(5), prose(21, 90).split()
+    texts = [" ".join(w if r.random() > 0.035 else r.choice(WORDS) for w in base) for _ in range(60)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bag = [collections.Counter(zip(*[t.lower().split()[k:] for k in range(5)])) for t in texts[:60]]
+    root = list(range(60))
+    for a in range(60):
+        for b in range(a):
+            both = sum((bag[a] & bag[b]).values())
+            if both / (sum((bag[a] + bag[b]).values()) - both) >= 0.8:
+                root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+    assert 1 < len(set(root)) < 60
+    monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(near_duplicates, "COLUMNS", 16)
+    rest = spark.createDataFrame([(1, i, i) for i in range(60)], "band long, rep long, root long")
+    found = near_duplicates.bucket_links(rest, docs, 0.8, str(tmp_path / "tiles")).collect()
+    mine = list(range(60))
+    for a, b in found:
+        mine = [min(mine[a], mine[b]) if x in (mine[a], mine[b]) else x for x in mine]
+    assert mine == root
+
+
 def test_signatures_are_unbiased():
     r = np.random.default_rng(0)
     a = {i: int(r.integers(1, 6)) for i in range(200)}
