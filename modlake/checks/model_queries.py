@@ -11,6 +11,7 @@ from modlake.operators import explain as X
 from modlake.operators import learn as L
 from modlake.operators import metrics as E
 from modlake.operators.linear import long_attributions
+from modlake.session import scratch_folder
 
 MODEL_FEATURES = list(I.MODEL.terms)
 
@@ -309,7 +310,14 @@ def _coefficients(spark, fitted):
 
 
 def _training(spark, sf_dir):
-    return I.labelled(spark, sf_dir, only=I.model_features()).persist()
+    return _written(I.labelled(spark, sf_dir, only=I.model_features()), "train")
+
+
+def _written(df, name):
+    """The rows as a table of the shared folder: features are computed once for all passes."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 @query("split_stratified")
@@ -371,7 +379,7 @@ def best_hyperparams(spark, sf_dir):
 @query("feature_ablation")
 def feature_ablation(spark, sf_dir):
     df = _training(spark, sf_dir)
-    split = L.stratified_split(df, "doc_id", "toxic").persist()
+    split = _written(L.stratified_split(df, "doc_id", "toxic"), "split")
     return L.feature_ablation(
         split.filter("split = 'train'"), split.filter("split = 'test'"), MODEL_FEATURES, "toxic",
         "doc_id", tops=(3,), trees=10, max_depth=5,
@@ -434,16 +442,15 @@ def _scorer(df):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    df = _judged(spark, sf_dir).select("doc_id", "y_true", *MODEL_FEATURES).persist()
+    df = _written(_judged(spark, sf_dir).select("doc_id", "y_true", *MODEL_FEATURES), "judged")
     return rounded(
-        X.permutation_importance(df, _scorer, MODEL_FEATURES, "doc_id", repeats=5),
-        6, "importance", "std",
+        X.permutation_importance(df, _scorer, MODEL_FEATURES, "doc_id"), 6, "importance", "std",
     )
 
 
 @query("kernel_attribution")
 def kernel_attribution(spark, sf_dir):
-    df = I.labelled(spark, sf_dir, only=I.model_features()).persist()
-    rows = X.hashed_sample(df, "doc_id", 50)
-    out = X.kernel_attribution(rows, df, _scorer, MODEL_FEATURES, "doc_id", background_size=10)
+    # Every labelled row is explained, against the method's bounded background.
+    df = _training(spark, sf_dir)
+    out = X.kernel_attribution(df, df, _scorer, MODEL_FEATURES, "doc_id")
     return rounded(out, 6, "value", "attribution")

@@ -110,18 +110,24 @@ def stream_dedup(spark, sf_dir):
     return jobs.run_to_table(kept, scratch_folder(spark, "dedup")).select("event_id")
 
 
-@query("stream_trend")
+_TREND = """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS article_id, count(*) AS comments,
+       round(sum(value), 4) AS toxicity FROM events GROUP BY ALL"""
+
+
+def _trend_rows(trend):
+    return trend.withColumns({
+        "day": F.date_format("day", "yyyy-MM-dd"), "toxicity": F.round("toxicity", 4),
+    })
+
+
+@query("stream_trend", _TREND)
 def stream_trend(spark, sf_dir):
     events = _stream(spark, sf_dir, "events")
     trend = jobs.daily_trend(events, "ts", "event_type", "value")
-    return jobs.run_to_table(trend, scratch_folder(spark, "trend"))
+    return _trend_rows(jobs.run_updates_to_table(trend, ["day", "article_id"], scratch_folder(spark, "trend")))
 
 
-@query("daily_trend", """
-SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS article_id, count(*) AS comments,
-       round(sum(value), 4) AS toxicity FROM events GROUP BY ALL""")
+@query("daily_trend", _TREND)
 def daily_trend(spark, sf_dir):
-    out = jobs.daily_trend(I.table(spark, sf_dir, "events"), "ts", "event_type", "value")
-    return out.withColumns({
-        "day": F.date_format("day", "yyyy-MM-dd"), "toxicity": F.round("toxicity", 4),
-    })
+    return _trend_rows(jobs.daily_trend(I.table(spark, sf_dir, "events"), "ts", "event_type", "value"))

@@ -175,12 +175,26 @@ def upsert(
     )
 
 
-def reevaluate(comments: DataFrame, thresholds: DataFrame) -> DataFrame:
+def _one_per_key(changes: DataFrame, key: str, order: str | None) -> DataFrame:
+    """One change per key: the last by ``order``; without an order, changes that differ are refused."""
+    values = [c for c in changes.columns if c not in (key, order)]
+    whole = F.struct(*values)
+    if order is None:
+        several = F.raise_error(F.concat(F.lit(f"several changes for {key} "), F.first(key).cast("string")))
+        one = F.when(F.min(whole).eqNullSafe(F.max(whole)), F.max(whole)).otherwise(several)
+    else:
+        one = F.max_by(whole, F.struct(order, whole))
+    return changes.groupBy(key).agg(one.alias("_change")).select(key, "_change.*")
+
+
+def reevaluate(comments: DataFrame, thresholds: DataFrame, order: str | None = None) -> DataFrame:
     """New thresholds ``(article_id, auto_threshold, manual_threshold)`` applied.
 
     Moderator bans keep decision and flag; articles without new thresholds stay.
+    Of several changes the last by ``order`` holds; without it they are refused.
     """
-    new = thresholds.select(
+    known = ["article_id", "auto_threshold", "manual_threshold"] + ([order] if order else [])
+    new = _one_per_key(thresholds.select(*known), "article_id", order).select(
         "article_id", F.col("auto_threshold").alias("_auto"),
         F.col("manual_threshold").alias("_manual"),
     )
@@ -205,9 +219,13 @@ def reevaluated_counts(comments: DataFrame) -> DataFrame:
     return comments.groupBy("article_id").agg(F.count_if(counted).alias("flagged_count"))
 
 
-def override_decisions(comments: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Moderator decisions ``(id, decision)``; the flag stays as it was."""
-    new = overrides.select("id", F.col("decision").alias("_new"))
+def override_decisions(comments: DataFrame, overrides: DataFrame, order: str | None = None) -> DataFrame:
+    """Moderator decisions ``(id, decision)``; the flag stays as it was.
+
+    Of several decisions the last by ``order`` holds; without it they are refused.
+    """
+    known = ["id", "decision"] + ([order] if order else [])
+    new = _one_per_key(overrides.select(*known), "id", order).select("id", F.col("decision").alias("_new"))
     return (
         comments.join(new, "id", "left")
         .withColumn("decision", F.coalesce("_new", "decision"))
@@ -222,11 +240,16 @@ def stale_explanations(comments: DataFrame, version: str) -> DataFrame:
     return comments.filter(empty | other)
 
 
-def with_explanations(comments: DataFrame, explained: DataFrame, version: str) -> DataFrame:
-    """Write back ``(id, top_features)``; an empty explanation changes nothing."""
-    new = explained.filter(F.size("top_features") > 0).select(
-        "id", F.col("top_features").alias("_top")
-    )
+def with_explanations(
+    comments: DataFrame, explained: DataFrame, version: str, order: str | None = None
+) -> DataFrame:
+    """Write back ``(id, top_features)``; an empty explanation changes nothing.
+
+    Of several explanations the last by ``order`` holds; without it they are refused.
+    """
+    known = ["id", "top_features"] + ([order] if order else [])
+    filled = explained.filter(F.size("top_features") > 0).select(*known)
+    new = _one_per_key(filled, "id", order).select("id", F.col("top_features").alias("_top"))
     return (
         comments.join(new, "id", "left")
         .withColumns({

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from modlake.operators.linear import LinearModel
 from modlake.plans.features import dense_features
@@ -62,6 +63,27 @@ def daily_trend(comments: DataFrame, ts: str, article: str, score: str, delay: s
     )
 
 
+def run_updates_to_table(stream: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """Run an aggregating stream and return its newest row per key, windows still open included.
+
+    Every micro-batch writes a folder of its own, which a replay overwrites.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(save).outputMode("update")
+        .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    values = [c for c in stream.columns if c not in keys]
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    kept = stream.sparkSession.read.schema(schema).parquet(f"{folder}/out")
+    newest = kept.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+    return newest.select(*keys, "_last.*")
+
+
 def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
     """Run an append stream over what is there and return what it wrote."""
     query = (

@@ -141,3 +141,14 @@ def test_rows_without_a_label_are_refused(spark):
     for made in (stratified_split(rows, "id", "y"), with_balanced_weight(rows, "y")):
         with pytest.raises(Exception, match="no y"):
             made.collect()
+
+
+def test_repeated_changes_do_not_multiply_rows(spark):
+    rows = spark.createDataFrame([("a", "safe", False), ("b", "safe", False)], "id string, decision string, is_flagged boolean")
+    twice = spark.createDataFrame([("a", "ban", 1), ("a", "review", 2), ("a", "ban", 0)], "id string, decision string, at int")
+    got = M.override_decisions(rows, twice, order="at").collect()
+    assert sorted((r["id"], r["decision"]) for r in got) == [("a", "review"), ("b", "safe")]
+    same = twice.filter("decision = 'ban'")
+    assert M.override_decisions(rows, same).filter("decision = 'ban'").count() == 1
+    with pytest.raises(Exception, match="several changes for id"):
+        M.override_decisions(rows, twice).collect()
