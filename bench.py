@@ -10,7 +10,7 @@ import os
 import time
 
 from modlake.checks import load
-from modlake.session import local_session
+from modlake.session import PARTITIONS, local_session
 
 HEADLINE = (
     "dense_features", "eda_class_means", "eda_class_histograms_lines",
@@ -23,7 +23,8 @@ HEADLINE = (
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = local_session(cpus, "bench", **{PARTITIONS: cpus})
     queries = load().QUERIES
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # start-up is not measured
     times = {}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from modlake.functions.moderation import comment_id, decide
 from modlake.operators.linear import LinearModel
 from modlake.plans.features import FEATURES, dense_features
-from modlake.session import spread
+from modlake.session import dealt
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 PLAIN_FEATURES = tuple(f for f in FEATURES if not f.startswith("vader_"))
@@ -54,7 +54,7 @@ def varied_text() -> Column:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comment_columns(spread(table(spark, sf_dir, "documents")))
+    return comment_columns(dealt(table(spark, sf_dir, "documents")))
 
 
 def comment_columns(docs: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def featured(spark: SparkSession, sf_dir: str, only=PLAIN_FEATURES) -> DataFrame
 def labelled(spark: SparkSession, sf_dir: str, only=PLAIN_FEATURES) -> DataFrame:
     """Features of the labelled comments; the join comes before the text work."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality")
-    joined = spread(comments(spark, sf_dir).join(labels, "doc_id"))
+    joined = dealt(comments(spark, sf_dir).join(labels, "doc_id"))
     return dense_features(joined, "text", keep=["doc_id", "toxic"], only=only)
 
 
@@ -126,7 +126,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as a numeric table with a binary label."""
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return dealt(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         F.col("l_linenumber").cast("double").alias("l_linenumber"),
@@ -141,7 +141,7 @@ def line_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.round(
         (F.col("l_extendedprice") % 1000) / 2000 + F.col("l_discount") * 4, 6
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return dealt(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_returnflag") == "R").cast("int").alias("y_true"),
         score.alias("y_score"),
         (score >= 0.5).cast("int").alias("y_pred"),

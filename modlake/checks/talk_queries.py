@@ -8,7 +8,7 @@ from modlake.checks import inputs as I
 from modlake.checks import sql as Q
 from modlake.checks.registry import query
 from modlake.plans import talk
-from modlake.session import spread
+from modlake.session import dealt
 from modlake.sources import export, labelled, mediawiki
 
 # Every document becomes a talk page: its lines are dressed up by position.
@@ -81,7 +81,7 @@ def talk_pages(spark, sf_dir):
             .otherwise(line)
         )
 
-    docs = spread(I.table(spark, sf_dir, "documents"))
+    docs = dealt(I.table(spark, sf_dir, "documents"))
     lines = F.transform(F.split("text", "\n"), dress)
     return docs.select("doc_id", F.array_join(lines, "\n").alias("wikitext"))
 
@@ -164,7 +164,7 @@ def _replies(spark, sf_dir):
     old = F.struct(title.alias("title"), F.array(F.struct(text)).alias("revisions"))
     empty = F.struct(title.alias("title"), F.array(F.struct(F.lit("").alias("*"))).alias("revisions"))
     gone = F.struct(title.alias("title"))
-    return spread(I.table(spark, sf_dir, "documents")).select(
+    return dealt(I.table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.when(kind == 0, body(key, slots)).when(kind == 1, body(key, old))
         .when(kind == 2, body(F.lit("-1"), old)).when(kind == 3, body(key, gone))

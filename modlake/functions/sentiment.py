@@ -102,7 +102,7 @@ def literal_lookup(lexicon: dict[str, float]) -> Callable[[Column], Column]:
             hit = token.isin(sorted(terms))
             value = F.lit(valence)
             pick = F.when(hit, value) if pick is None else pick.when(hit, value)
-        return F.when(token.isin(known), pick)
+        return F.lit(None).cast("double") if pick is None else F.when(token.isin(known), pick)
 
     return look
 

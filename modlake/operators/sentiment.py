@@ -1,4 +1,4 @@
-"""How a valence lexicon reaches the rows: as literals, or by a join."""
+"""How a valence lexicon reaches the rows: a dict as literals, a table by a join."""
 
 from __future__ import annotations
 
@@ -9,28 +9,20 @@ from pyspark.sql import functions as F
 
 from modlake.functions import sentiment as S
 
-# Up to this many terms the lexicon travels inside the plan.
-MAX_LITERAL_TERMS = 20_000
-
 
 def valence_lookup(
     df: DataFrame, text_col: str, lexicon: dict[str, float] | DataFrame
 ) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """Return ``(df, token -> valence)`` for either lexicon form and any size."""
+    """Return ``(df, token -> valence)``.
+
+    A dict travels inside the plan and also serves streams.  A ``(term, valence)`` table, which may be
+    large, is joined, and never read while the plan is built; Spark broadcasts it only if it is small.
+    In both, entries without a term or valence are no entries; of a term's repeats the largest valence holds.
+    """
     if isinstance(lexicon, DataFrame):
-        # One rule for any size: gaps are no entries, and the largest valence of a term holds.
-        lexicon = lexicon.dropna(subset=["term", "valence"]).groupBy("term").agg(F.max("valence").alias("valence"))
-        # Reads at most the bound plus one row, whatever the table holds.
-        head = lexicon.select("term", "valence").take(MAX_LITERAL_TERMS + 1)
-        if len(head) > MAX_LITERAL_TERMS:
-            return _joined(df, text_col, lexicon)
-        lexicon = {r["term"]: float(r["valence"]) for r in head}
-    if len(lexicon) > MAX_LITERAL_TERMS:
-        table = df.sparkSession.createDataFrame(
-            list(lexicon.items()), "term string, valence double"
-        )
-        return _joined(df, text_col, table)
-    return df, S.literal_lookup(lexicon)
+        entries = lexicon.dropna(subset=["term", "valence"]).groupBy("term").agg(F.max("valence").alias("valence"))
+        return _joined(df, text_col, entries)
+    return df, S.literal_lookup({t: v for t, v in lexicon.items() if t is not None and v is not None})
 
 
 def _joined(

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Partitions that a caller wants its input dealt over.
+PARTITIONS = "spark.modlake.inputPartitions"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -44,21 +46,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/modlake-{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input that is too small to be split by the scan.
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt over as many partitions as the session's ``PARTITIONS`` setting says; unset: untouched.
 
-    A file is split only at row groups, so a small table may arrive as one
-    partition however heavy the work on a row is.  When the optimizer's size
-    estimate says the whole input is below one scan split per core, rows are
-    dealt out; larger inputs come back untouched, without a shuffle.
+    For callers whose tables come in fewer files than they have cores (a file is split only at
+    row groups).  The caller decides; large tables need no setting and are not shuffled.
     """
-    spark = df.sparkSession
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    slots = spark.sparkContext.defaultParallelism
-    return df.repartition(slots) if estimate < slots * _split_bytes(spark) else df
-
-
-def _split_bytes(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
-    units = {"k": 2**10, "m": 2**20, "g": 2**30}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+    wanted = df.sparkSession.conf.get(PARTITIONS, None)
+    return df if wanted is None else df.repartition(int(wanted))

@@ -1,7 +1,6 @@
 import pytest
 
 from modlake.functions import sentiment as S
-from modlake.operators import sentiment as op
 from modlake.plans.features import dense_features
 
 NAMES = ("vader_compound", "vader_neg", "vader_pos")
@@ -38,9 +37,16 @@ def test_shares(spark):
     assert rows[0]["vader_neg"] == 0.0
 
 
-def test_large_lexicon_is_joined(spark, monkeypatch):
-    want, _ = scores(spark, [t for t, _ in CASES])
-    monkeypatch.setattr(op, "MAX_LITERAL_TERMS", 5)
-    table = spark.createDataFrame(list(S.SEED_LEXICON.items()), "term string, valence double")
-    got, _ = scores(spark, [t for t, _ in CASES], table)
+def test_table_gives_the_same_as_a_dict(spark):
+    texts = [t for t, _ in CASES]
+    want, _ = scores(spark, texts)
+    entries = [*S.SEED_LEXICON.items(), ("good", -3.0), ("good", None), (None, 1.0)]
+    got, _ = scores(spark, texts, spark.createDataFrame(entries, "term string, valence double"))
     assert got == want
+    assert scores(spark, texts, {**S.SEED_LEXICON, "plain": None})[0] == want
+
+
+def test_empty_lexicon_scores_nothing(spark):
+    none = spark.createDataFrame([], "term string, valence double")
+    for lexicon in ({}, none):
+        assert scores(spark, ["good", "bad!", None], lexicon)[0] == [0.0, 0.0, 0.0]
