@@ -1,8 +1,9 @@
 """Personal data by patterns, and more of it by bootstrapped context patterns; Spark expressions only.
 
-Base: e-mail addresses, IPv4 addresses, payment card numbers and phone numbers.  Those
-are the seeds: the two words before a seed are a context pattern, and the strings with
-digits that follow a pattern are its instances.  Pattern and instance scores are computed from each
+Base: e-mail addresses, IPv4 addresses, payment card numbers and phone numbers.  Every one of
+those spans is a seed, whatever its spaces or digits: the two words of the text before the word in
+which it starts are its context pattern (one word, if the text has no more; none at the very start).
+Seeds and the digit words that follow a pattern are its instances.  Pattern and instance scores are computed from each
 other in a few rounds over the graph of (pattern, instance) pairs; strings after patterns of high
 confidence are added as ``context`` spans.
 
@@ -27,7 +28,7 @@ EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[{LABEL}]++\.[{LABEL}.]++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9][0-9\x20-]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word with a digit; the words before it are its context.
+#: A word with a digit.
 WORD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -35,25 +36,32 @@ ROUNDS, MIN_SUPPORT, CONFIDENCE = 3, 5, 0.8
 MIN_CHARS, MIN_DIGITS = 6, 4
 
 
+def _breaks(text: Column) -> Column:
+    return F.size(F.split(text, r"\s+", -1)) - 1
+
+
 def _matches(text: Column, pattern: str, when: Column) -> Column:
-    """Array of (start, string) of all matches, from the matches and the gaps between them."""
+    """Array of (start, string, word) of all matches, from the matches and the gaps between them.
+
+    ``word`` is the number of white-space runs before the match; none may start or end with one.
+    """
     gaps = F.split(text, pattern, -1)
     strings = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(
-        strings, F.slice(F.transform(gaps, lambda g: F.struct(F.length(g).alias("skip"), F.right(g, F.lit(96)).alias("left"))),
+        strings, F.slice(F.transform(gaps, lambda g: F.struct(F.length(g).alias("skip"), _breaks(g).alias("breaks"))),
                          1, F.greatest(F.size(strings), F.lit(0))),
-        lambda s, g: F.struct(g["skip"].alias("skip"), g["left"].alias("left"), s.alias("s")),
+        lambda s, g: F.struct(g["skip"].alias("skip"), g["breaks"].alias("breaks"), s.alias("s")),
     )
-    kind = "struct<start:int,s:string,left:string>"
+    kind = "struct<start:int,s:string,word:int>"
 
     def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + m["skip"]
+        start, word = acc["at"] + m["skip"], acc["word"] + m["breaks"]
         return F.struct(
-            (start + F.length(m["s"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), m["s"].alias("s"), m["left"].alias("left")))).alias("out"),
+            (start + F.length(m["s"])).alias("at"), (word + _breaks(m["s"])).alias("word"),
+            F.concat(acc["out"], F.array(F.struct(start.alias("start"), m["s"].alias("s"), word.alias("word")))).alias("out"),
         )
 
-    zero = F.expr(f"struct(0 as at, cast(array() as array<{kind}>) as out)")
+    zero = F.expr(f"struct(0 as at, 0 as word, cast(array() as array<{kind}>) as out)")
     found = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
     return F.when(when, found).otherwise(F.expr(f"cast(array() as array<{kind}>)"))
 
@@ -80,11 +88,20 @@ def _spans(found: Column, kind: int) -> Column:
     )
 
 
+def _placed(found: Column) -> Column:
+    """start, string and context pattern of matches, from the words of the whole text."""
+    return F.transform(found, lambda m: F.struct(
+        m["start"].alias("start"), m["s"].alias("s"),
+        F.lower(F.ltrim(F.concat_ws(" ", F.get("_split", m["word"] - 2), F.get("_split", m["word"] - 1)))).alias("pattern"),
+    ))
+
+
 def with_spans(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``base``, the base spans by start then kind, and ``words``, digit words and their context."""
+    """``df`` with ``base``, the base spans by start then kind, ``seeds``, their strings and contexts, and ``words``, digit words and theirs."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     dotted = F.regexp_replace(t, rf"\.(?![{LABEL}])", "%")
-    spaced = F.regexp_replace(t, r"[\x20-](?![0-9])", "x")
+    # White space stays white space, so that words are counted alike in every form of the text.
+    spaced = F.regexp_replace(F.regexp_replace(t, r"\x20(?![0-9])", "\t"), "-(?![0-9])", "x")
     part = r"0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
     has_digit = t.rlike("[0-9]")
     found = df.select(
@@ -93,7 +110,8 @@ def with_spans(df: DataFrame, text: str = "text") -> DataFrame:
         _matches(t, IP, has_digit & t.contains(".")).alias("_ip"),
         _matches(spaced, CARD, t.rlike(r"[0-9][0-9\x20-]{12}")).alias("_card"),
         _matches(t, PHONE, t.contains("+")).alias("_phone"),
-        _matches(t, WORD, has_digit).alias("words"),
+        _matches(t, WORD, has_digit).alias("_word"),
+        F.when(has_digit | t.contains("@"), F.split(t, r"\s+", -1)).alias("_split"),
     )
     ip = F.filter("_ip", lambda m: m["s"].rlike(rf"^{part}\.{part}\.{part}\.{part}$"))
     card = F.filter("_card", lambda m: F.length(_digits(m["s"])).between(14, 19) & _luhn(_digits(m["s"])))
@@ -101,28 +119,30 @@ def with_spans(df: DataFrame, text: str = "text") -> DataFrame:
     return found.select(
         *df.columns,
         F.array_sort(F.concat(_spans(F.col("_email"), 0), _spans(ip, 1), _spans(card, 2), _spans(phone, 3))).alias("base"),
-        "words",
+        _placed(F.concat("_email", ip, card, phone)).alias("seeds"),
+        _placed(F.col("_word")).alias("words"),
     )
 
 
 def candidates(scanned: DataFrame) -> DataFrame:
-    """Digit words long enough for an identifier: doc_id, start, end, instance, pattern, seed."""
-    word = scanned.filter(F.col("doc_id").isNotNull() & (F.size("words") > 0)).select(
-        "doc_id", "base", F.explode("words").alias("w")
+    """Seeds, and digit words outside them long enough for an identifier: doc_id, start, end, instance, pattern, seed."""
+    known = scanned.filter(F.col("doc_id").isNotNull())
+    seeds = known.select("doc_id", F.explode("seeds").alias("w")).select(
+        "doc_id", "w.start", (F.col("w.start") + F.length("w.s")).alias("end"), F.col("w.s").alias("instance"), "w.pattern",
+        F.lit(True).alias("seed"),
     )
+    word = known.filter(F.size("words") > 0).select("doc_id", "base", F.explode("words").alias("w"))
     core = word.select(
         "doc_id", "base",
         (F.col("w.start") + F.length("w.s") - F.length(F.regexp_replace("w.s", r"^[^A-Za-z0-9+]++", ""))).alias("start"),
         F.regexp_replace(F.regexp_replace("w.s", r"^[^A-Za-z0-9+]++", ""), r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$|(?<=[A-Za-z0-9])[^A-Za-z0-9]++$", "").alias("instance"),
-        F.lower(F.regexp_extract("w.left", r"(\S+\s+\S+)\s*$", 1)).alias("pattern"),
+        "w.pattern",
     ).withColumn("end", F.col("start") + F.length("instance"))
-    return core.filter(
-        (F.length("instance") >= MIN_CHARS) & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS) & (F.col("pattern") != "")
-    ).select(
-        "doc_id", "start", "end", "instance",
-        F.regexp_replace("pattern", r"\s+", " ").alias("pattern"),
-        F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])).alias("seed"),
-    )
+    others = core.filter(
+        (F.length("instance") >= MIN_CHARS) & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)
+        & ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
+    ).select("doc_id", "start", "end", "instance", "pattern", F.lit(False).alias("seed"))
+    return seeds.unionByName(others).filter("pattern <> ''")
 
 
 def score_patterns(words: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -160,7 +180,7 @@ def context_spans(words: DataFrame, confidence: float = CONFIDENCE, support: int
 
 def _scanned(docs: DataFrame, scratch: str) -> tuple[DataFrame, DataFrame]:
     """The base scan of all rows, written once under ``scratch``, and the context spans by doc_id."""
-    with_spans(key_text(docs)).select("doc_id", "base", "words").write.parquet(f"{scratch}/scan")
+    with_spans(key_text(docs)).select("doc_id", "base", "seeds", "words").write.parquet(f"{scratch}/scan")
     scanned = docs.sparkSession.read.parquet(f"{scratch}/scan")
     candidates(scanned).write.parquet(f"{scratch}/words")
     return scanned.select("doc_id", "base"), context_spans(docs.sparkSession.read.parquet(f"{scratch}/words"))
@@ -197,7 +217,7 @@ def redact(docs: DataFrame, scratch: str) -> DataFrame:
     """``docs`` with personal data in ``text`` masked; other columns and all rows stay."""
     _, more = _scanned(docs, scratch)
     inner = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("key"), "text")
-    marked = with_spans(inner).drop("words", "text")
+    marked = with_spans(inner).drop("seeds", "words", "text")
     joined = marked.join(more.withColumnRenamed("doc_id", "key"), "key", "left")
     masked = joined.select("row", mask(F.col("row.text"), _all_spans()).alias("masked"))
     return masked.select(*(F.col("masked").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))

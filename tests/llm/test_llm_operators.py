@@ -268,6 +268,20 @@ def test_personal_data(spark, docs, empty, tmp_path_factory):
     assert pii.find(empty, folder(tmp_path_factory)).count() == 0
 
 
+def test_every_base_span_is_a_seed(spark, tmp_path_factory):
+    seeds = [f"reach me at {i}x@mail.example.com today" for i in range(9)] + ["reach me at account-99187 today"]
+    seeds += [f"n0 my line +1 (509) 555-{1000 + i} ok" for i in range(9)] + ["see my line 5556973 ok", "a 7 x " + "-" * 200 + " line 5556973"]
+    seeds += [f"7 pay card 4111 1111 1111 1111 {chr(97 + i)}@b.de" for i in range(2)] + ["call\n\tme@x.org", "1@x.org", " \u00e9 b1  c@x.org"]
+    df = spark.createDataFrame(list(enumerate(seeds)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(df, folder(tmp_path_factory)).collect()}
+    assert [tuple(s) for s in got[9]] == [(12, 4, 25)]
+    assert [tuple(s) for s in got[19]] == [(12, 4, 19)] and got[20] == []
+    words = pii.candidates(pii.with_spans(df)).collect()
+    assert all(seeds[w.doc_id][w.start : w.end] == w.instance for w in words)
+    assert {w.pattern for w in words if w.seed} == {"me at", "my line", "pay card", "1111 1111", "call", "\u00e9 b1"}
+    assert sum(w.seed for w in words) == 9 + 9 + 4 + 2
+
+
 def test_bootstrapped_patterns(spark):
     rows = [(i, 0, 9, f"id{i:06d}", "customer id", i < 9) for i in range(10)] + [(99, 0, 9, "id999999", "some word", False)]
     words = spark.createDataFrame(rows, "doc_id long, start int, end int, instance string, pattern string, seed boolean")
