@@ -1,14 +1,16 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Letters are folded to lower case, everything else is one space.  Four-character strings are
-counted over all labelled texts; the lower orders use continuation counts.  Every
+counted by Spark and all of them are kept; the lower orders use continuation counts.  Every
 language's model is a set of sorted arrays of mixed keys with log probabilities and
 back-off weights.  A text gets the language of lowest cross-entropy per character, and
 is rejected if that is far above what held training texts of that language show.
 
-Bounds: the model keeps the ``max_grams`` most frequent strings over all languages, so
-its broadcast is at most about 40 bytes each (40 MB); calibration fits on about ``sample`` labelled
-rows per language, chosen by a hash of their id.  Counting and scoring cover all texts whole.
+Bounds: each language is fitted on all its labelled rows, or, where it has more, on about
+``fit_rows`` of them chosen by a hash of id and text, each text whole; none of their strings is left out,
+so the languages and each one's discounts and counts never depend on other languages.  The broadcast has
+about 40 bytes for each distinct string of a language.  Calibration uses about ``sample`` labelled
+rows per language, chosen by a hash of their id.  Scoring covers all texts whole.
 
 Texts that are null or have no letter get ``und``, score 0 and are rejected.  With no
 labelled text at all nothing is learned: every text is ``und`` and none with a letter is rejected.
@@ -30,8 +32,9 @@ from pyspark.sql import types as T
 from modlake.llm.common import slices, table, utf8, without
 
 ORDER, SPACE = 4, 32
-MAX_GRAMS = 1 << 20
-CALIBRATION_ROWS = 2_000
+FIT_ROWS, CALIBRATION_ROWS = 20_000, 2_000
+#: A letter, or a code point that Java's tables do not know yet.
+LETTER = r"[\p{L}\p{Cn}]"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +72,7 @@ def grams(batch: pa.RecordBatch, column: str, codes: np.ndarray) -> tuple[np.nda
 
 
 def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """lang, gram, n over all labelled texts."""
+    """lang, gram, n over all labelled texts of ``docs``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, held = letter_table(), {}
@@ -195,20 +198,31 @@ def _excess(h: np.ndarray, n: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return (h - mean) / (1 + 8 / np.sqrt(np.maximum(n, 1)))
 
 
+def fit_sample(labelled: DataFrame, text: str, lang: str, key: str, fit_rows: int) -> DataFrame:
+    """text and lang of about ``fit_rows`` labelled rows with letters per language, of all where it has fewer."""
+    drawn = labelled.select(
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
+        F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 30)).alias("draw"),
+    ).filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
+    # The lowest draw is always in, so that no language can vanish.
+    below = drawn.groupBy(F.col("lang").alias("l")).agg(
+        F.greatest(F.lit(float(fit_rows)) / F.count("*") * (1 << 30), F.min("draw") + 1.0).alias("below")
+    )
+    return drawn.join(F.broadcast(below), F.col("lang") == F.col("l")).filter("draw < below").select("text", "lang")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-          max_grams: int = MAX_GRAMS, sample: int = CALIBRATION_ROWS) -> Identifier:
-    """Fit the models on all labelled rows, and the rejection on a bounded sample."""
-    counted = count_grams(labelled, text, lang)
-    rows = counted.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
-    lang_of = np.array(rows.column("lang").to_pylist(), object).astype(str)
+          fit_rows: int = FIT_ROWS, sample: int = CALIBRATION_ROWS) -> Identifier:
+    """Fit each language's model and its rejection on a bounded number of its labelled rows."""
+    rows = count_grams(fit_sample(labelled, text, lang, key, fit_rows), "text", "lang").toArrow()
+    coded = rows.column("lang").combine_chunks().dictionary_encode()
+    labels, lang_of = coded.dictionary.to_pylist(), np.asarray(coded.indices)
     gram, n = (np.asarray(rows.column(c).combine_chunks()) for c in ("gram", "n"))
-    names = sorted(set(lang_of.tolist()))
-    models = []
+    names, models = sorted(labels), []
     for name in names:
-        own = lang_of == name
-        keys = gram[own].view(np.uint64)
-        order = np.argsort(keys)
-        models.append(fit(keys[order], n[own][order]))
+        own = np.flatnonzero(lang_of == labels.index(name))
+        own = own[np.argsort(gram[own].view(np.uint64))]
+        models.append(fit(gram[own].view(np.uint64), n[own]))
     found = Identifier(names, models, np.zeros(len(names)), np.full(len(names), np.inf))
     if not names:
         return found

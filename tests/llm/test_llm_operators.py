@@ -156,6 +156,20 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_no_language_loses_strings_to_another(spark):
+    r = random.Random(6)
+    rows = [(i, "".join(chr(0x4E00 + r.randrange(20000)) for _ in range(100_000)), "aa") for i in range(11)]
+    frame = spark.createDataFrame([*rows, (20, "kolar ravin", "zz"), (21, "12 34", "xx"), (None, None, "yy")], "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert model.names == ["aa", "zz"]
+    whole = {t[j : j + 4] for _, t, _ in rows for j in range(len(t) - 3)} | {" " * (3 - j) + t[: j + 1] for _, t, _ in rows for j in range(3)}
+    assert [len(m["orders"][4][0]) for m in model.models] == [len(whole), len("kolar ravin")]
+    assert language.identify(frame.filter("doc_id = 20"), model).first().lang_pred == "zz"
+    few = language.train(frame, fit_rows=2)
+    assert few.names == ["aa", "zz"] and len(few.models[0]["orders"][4][0]) < len(whole)
+    assert len(few.models[1]["orders"][4][0]) == len("kolar ravin")
+
+
 def test_token_files(spark, docs, empty, tmp_path_factory):
     from tokenizers import Tokenizer
 
