@@ -149,23 +149,27 @@ def score_patterns(words: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, confidence, support after some rounds over the pattern-instance graph.
 
     A pattern's confidence is the mean confidence of its instances, lowered for few of
-    them; an instance that is no seed has the best confidence of its patterns.
+    them; an instance that is no seed has, towards each pattern, the best confidence of
+    its other patterns, so that no pattern lifts itself.
     """
     edges = words.groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
     seeds = words.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("conf"))
 
-    def patterns(instances: DataFrame) -> DataFrame:
-        return edges.join(instances, "instance").groupBy("pattern").agg(
-            (F.sum("conf") / (F.count("*") + 1)).alias("confidence"), F.count("*").alias("support")
-        )
+    def patterns(trusted: DataFrame) -> DataFrame:
+        return trusted.groupBy("pattern").agg((F.sum("conf") / (F.count("*") + 1)).alias("confidence"), F.count("*").alias("support"))
 
-    scored = patterns(seeds)
+    known = edges.join(seeds, "instance").select("pattern", "instance", "conf")
+    scored = patterns(known)
     for _ in range(rounds - 1):
         # Only patterns with some confidence can lift an instance; the rest need no message.
-        lifted = edges.join(scored.filter("confidence > 0"), "pattern").groupBy("instance").agg(F.max("confidence").alias("lift"))
-        scored = patterns(seeds.join(lifted, "instance", "left").select(
-            "instance", F.greatest("conf", F.coalesce("lift", F.lit(0.0))).alias("conf")
-        ))
+        messages = edges.join(scored.filter("confidence > 0"), "pattern").select("pattern", "instance", "confidence")
+        best = messages.groupBy("instance").agg(F.max(F.struct("confidence", "pattern")).alias("best"))
+        second = messages.join(best, "instance").filter("pattern <> best.pattern").groupBy("instance").agg(
+            F.max("confidence").alias("second")
+        )
+        other = F.when(F.col("pattern") == F.col("best.pattern"), F.col("second")).otherwise(F.col("best.confidence"))
+        lifted = known.join(best, "instance", "left").join(second, "instance", "left")
+        scored = patterns(lifted.select("pattern", F.greatest("conf", F.coalesce(other, F.lit(0.0))).alias("conf")))
     return scored
 
 

@@ -302,6 +302,30 @@ def test_bootstrapped_patterns(spark):
     assert [r.doc_id for r in pii.context_spans(words).collect()] == [9]
 
 
+def test_no_pattern_lifts_itself(spark):
+    rows = [(f"a{i:03d}", "own only", i < 50) for i in range(100)]
+    rows += [(f"b{i:03d}", "shared one", i < 50) for i in range(60)] + [(f"b{i:03d}", "shared two", True) for i in range(50, 60)]
+    rows += [(f"c{i:03d}", "shared two", True) for i in range(90)]
+    words = spark.createDataFrame([(i, 0, 4, s, p, d) for i, (s, p, d) in enumerate(rows)],
+                                  "doc_id long, start int, end int, instance string, pattern string, seed boolean")
+    seeded, held = {s for s, _, d in rows if d}, collections.defaultdict(set)
+    for s, p, _ in rows:
+        held[p].add(s)
+    conf = {}
+    for _ in range(pii.ROUNDS):
+        conf = {p: sum(max([float(s in seeded), *(conf[q] for q in conf if q != p and s in held[q])]) for s in of) / (len(of) + 1)
+                for p, of in held.items()}
+    got = {r.pattern: r.confidence for r in pii.score_patterns(words).collect()}
+    assert got == pytest.approx(conf) and got["own only"] == pytest.approx(50 / 101)
+    more = [(500 + i, 0, 4, f"d{i}", p, i < 8) for p in ("left of", "right of") for i in range(12)]
+    graph = spark.createDataFrame(more, words.schema)
+    first = 8 / 13
+    second = (8 + 4 * first) / 13
+    want = (8 + 4 * second) / 13
+    assert [r.confidence for r in pii.score_patterns(graph).collect()] == pytest.approx([want, want])
+    assert {r.doc_id for r in pii.context_spans(words).collect()} == set(range(150, 160))
+
+
 def test_decontamination(spark, docs, empty):
     item = prose(77, 40)
     words = item.split()
