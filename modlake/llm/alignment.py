@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlake.llm.common import TOKENIZERS, key_text, table
+from modlake.llm.common import TOKENIZERS, key_text, once, table
 from modlake.llm.vocabulary import ByteIds
 from modlake.session import scratch_folder
 
@@ -80,15 +80,17 @@ class Aligner:
         if b"".join(map(self.b.bytes_of.__getitem__, b.tolist())) != data:
             return None
         a = self.a(" " + text).astype(np.int64)
-        if b"".join(map(self.a.codec.bytes_of.__getitem__, a.tolist())) != data:
-            return None
-        return a, b
+        # Byte-level ids of well-formed text give its bytes back.
+        return (a, b) if int(self.size_a[a].sum()) == len(data) else None
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The group of every A token and of every B token."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.b.sizes[b])
-        both = np.intersect1d(ends_a, ends_b)
-        return np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        cut = np.zeros(int(ends_a[-1]) + 1, np.int8)
+        cut[ends_a] = 1
+        cut[ends_b] += cut[ends_b]  # 2 where both end
+        lasts = cut[ends_a] == 2, cut[ends_b] == 2
+        return np.cumsum(lasts[0]) - lasts[0], np.cumsum(lasts[1]) - lasts[1]
 
     def digest(self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> str:
         """Hex digest of ``a1,a2|b1;a3|b2,b3``."""
@@ -208,7 +210,8 @@ def inverted(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        aligner, block = Aligner(path_a, path_b), TaskContext.get().partitionId() << 32
+        aligner = once(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
+        block = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
         entries = 0

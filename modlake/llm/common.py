@@ -65,6 +65,17 @@ def key_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return df.selectExpr(f"cast(`{key}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
 
 
+def once(key: tuple, make: Callable):
+    """A value made once in each worker process (vocabularies take seconds to load); ``key`` names all it depends on."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_modlake_values", types.ModuleType("_modlake_values")).__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 class Recent:
     """A bounded memory of values in two generations; what is asked for again survives."""
 

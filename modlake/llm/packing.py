@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlake.llm.common import TOKENIZERS, key_text, table
+from modlake.llm.common import TOKENIZERS, key_text, once, table
 from modlake.llm.vocabulary import ByteIds
 
 CAPACITY, SMALLEST, END_ID = 1024, 16, 0
@@ -117,7 +117,7 @@ def pack(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = ByteIds(tokenizer, special=True)
+        encode = once(("byte ids", tokenizer, True), lambda: ByteIds(tokenizer, special=True))
         packer, end = Packer(TaskContext.get().partitionId() << 40, capacity, smallest), np.array([end_id], "<u4")
         ready: list[tuple] = []
         for rows in batches:

@@ -31,11 +31,19 @@ class ByteIds:
         self.library = tiktoken.Encoding(
             "own", pat_str=WORDS, mergeable_ranks=dict(ranks), special_tokens=self.special
         )
-        self.long = re.compile(rf"\S{{{LONG}}}|\s{{{LONG}}}")
+        self.run = re.compile(rf"\S{{{LONG}}}|\s{{{LONG}}}")
+
+    def long(self, text: str) -> bool:
+        """Is there a run of ``LONG`` characters?  Most texts are ruled out by the places of their ASCII blanks."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        at = np.flatnonzero(data < 128)
+        blank = data[at] <= 32
+        edges = at[1:][blank[1:] != blank[:-1]]
+        return bool(np.diff(edges, prepend=0, append=len(data)).max() >= LONG and self.run.search(text))
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit integers."""
-        if self.long.search(text):
+        if len(text) >= LONG and self.long(text):
             raw = self.codec.encode(text) if self.special else self.codec.plain_ids(text)
             return np.frombuffer(raw, "<u4")
         return self.library.encode_to_numpy(text, allowed_special="all")
