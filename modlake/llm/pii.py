@@ -9,8 +9,11 @@ confidence are added as ``context`` spans.
 
 All offsets are code points, ends exclusive.  Patterns run in linear time on any text:
 runs are matched possessively, and repeated groups are first turned into plain character runs by a
-length-preserving replacement.  Null and empty texts have no spans.  Rows that repeat a doc_id with
-the same text share their context spans; each row stays.  Null ids get base spans only.
+length-preserving replacement.  Null and empty texts have no spans.  A row's spans come from its own
+text alone, so repeated or null ids do no harm; each row stays.
+
+Trusted patterns are few strings: up to ``MOST`` of them become literals, so context spans are found in the
+row where they are and no text moves.  More of them are joined, by id and digest of the text.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ SPAN = "struct<start:int,kind:int,end:int>"
 
 ROUNDS, MIN_SUPPORT, CONFIDENCE = 3, 5, 0.8
 MIN_CHARS, MIN_DIGITS = 6, 4
+#: Trusted patterns, and their characters in all, that travel in the plan.
+MOST, MOST_CHARS = 10_000, 1 << 20
 
 
 def _breaks(text: Column) -> Column:
@@ -124,43 +129,54 @@ def with_spans(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _cores(words: Column, base: Column) -> Column:
+    """Digit words less the marks around them, long enough for an identifier and outside base spans."""
+    def core(w: Column) -> Column:
+        tail = F.regexp_replace(w["s"], r"^[^A-Za-z0-9+]++", "")
+        instance = F.regexp_replace(tail, r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$|(?<=[A-Za-z0-9])[^A-Za-z0-9]++$", "")
+        start = w["start"] + F.length(w["s"]) - F.length(tail)
+        return F.struct(start.alias("start"), (start + F.length(instance)).alias("end"), instance.alias("instance"), w["pattern"].alias("pattern"))
+
+    return F.filter(
+        F.transform(words, core),
+        lambda c: (F.length(c["instance"]) >= MIN_CHARS) & (F.length(_digits(c["instance"])) >= MIN_DIGITS) & (c["pattern"] != "")
+        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
+    )
+
+
 def candidates(scanned: DataFrame) -> DataFrame:
     """Seeds, and digit words outside them long enough for an identifier: doc_id, start, end, instance, pattern, seed."""
-    known = scanned.filter(F.col("doc_id").isNotNull())
-    seeds = known.select("doc_id", F.explode("seeds").alias("w")).select(
+    seeds = scanned.select("doc_id", F.explode("seeds").alias("w")).select(
         "doc_id", "w.start", (F.col("w.start") + F.length("w.s")).alias("end"), F.col("w.s").alias("instance"), "w.pattern",
         F.lit(True).alias("seed"),
     )
-    word = known.filter(F.size("words") > 0).select("doc_id", "base", F.explode("words").alias("w"))
-    core = word.select(
-        "doc_id", "base",
-        (F.col("w.start") + F.length("w.s") - F.length(F.regexp_replace("w.s", r"^[^A-Za-z0-9+]++", ""))).alias("start"),
-        F.regexp_replace(F.regexp_replace("w.s", r"^[^A-Za-z0-9+]++", ""), r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$|(?<=[A-Za-z0-9])[^A-Za-z0-9]++$", "").alias("instance"),
-        "w.pattern",
-    ).withColumn("end", F.col("start") + F.length("instance"))
-    others = core.filter(
-        (F.length("instance") >= MIN_CHARS) & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)
-        & ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    ).select("doc_id", "start", "end", "instance", "pattern", F.lit(False).alias("seed"))
+    others = scanned.select("doc_id", F.explode(_cores(F.col("words"), F.col("base"))).alias("w")).select(
+        "doc_id", "w.start", "w.end", "w.instance", "w.pattern", F.lit(False).alias("seed")
+    )
     return seeds.unionByName(others).filter("pattern <> ''")
 
 
-def score_patterns(words: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score_patterns(words: DataFrame, scratch: str, rounds: int = ROUNDS) -> DataFrame:
     """pattern, confidence, support after some rounds over the pattern-instance graph.
 
     A pattern's confidence is the mean confidence of its instances, lowered for few of
     them; an instance that is no seed has, towards each pattern, the best confidence of
-    its other patterns, so that no pattern lifts itself.
+    its other patterns, so that no pattern lifts itself.  Each round's scores are written under
+    ``scratch``, so the plan does not grow with the rounds.
     """
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return words.sparkSession.read.parquet(f"{scratch}/{name}")
+
     edges = words.groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
     seeds = words.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("conf"))
 
     def patterns(trusted: DataFrame) -> DataFrame:
         return trusted.groupBy("pattern").agg((F.sum("conf") / (F.count("*") + 1)).alias("confidence"), F.count("*").alias("support"))
 
-    known = edges.join(seeds, "instance").select("pattern", "instance", "conf")
-    scored = patterns(known)
-    for _ in range(rounds - 1):
+    known = written(edges.join(seeds, "instance").select("pattern", "instance", "conf"), "edges")
+    edges, scored = known.select("pattern", "instance"), written(patterns(known), "scores0")
+    for n in range(1, rounds):
         # Only patterns with some confidence can lift an instance; the rest need no message.
         messages = edges.join(scored.filter("confidence > 0"), "pattern").select("pattern", "instance", "confidence")
         best = messages.groupBy("instance").agg(F.max(F.struct("confidence", "pattern")).alias("best"))
@@ -169,35 +185,55 @@ def score_patterns(words: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
         other = F.when(F.col("pattern") == F.col("best.pattern"), F.col("second")).otherwise(F.col("best.confidence"))
         lifted = known.join(best, "instance", "left").join(second, "instance", "left")
-        scored = patterns(lifted.select("pattern", F.greatest("conf", F.coalesce(other, F.lit(0.0))).alias("conf")))
+        lifted = lifted.select("pattern", F.greatest("conf", F.coalesce(other, F.lit(0.0))).alias("conf"))
+        scored = written(patterns(lifted), f"scores{n}")
     return scored
 
 
-def context_spans(words: DataFrame, confidence: float = CONFIDENCE, support: int = MIN_SUPPORT) -> DataFrame:
-    """doc_id and its ``context`` spans: unseen identifiers after patterns of high confidence."""
-    trusted = score_patterns(words).filter((F.col("confidence") >= confidence) & (F.col("support") >= support))
-    return (
-        words.filter(~F.col("seed")).join(trusted.select("pattern"), "pattern", "left_semi")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("more"))
-    )
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id, digest of the text, base spans, seeds and digit words of every row."""
+    inner = key_text(docs).withColumn("digest", F.xxhash64("text"))
+    return with_spans(inner).select("doc_id", "digest", "base", "seeds", "words")
 
 
-def _scanned(docs: DataFrame, scratch: str) -> tuple[DataFrame, DataFrame]:
-    """The base scan of all rows, written once under ``scratch``, and the context spans by doc_id."""
-    with_spans(key_text(docs)).select("doc_id", "base", "seeds", "words").write.parquet(f"{scratch}/scan")
-    scanned = docs.sparkSession.read.parquet(f"{scratch}/scan")
-    candidates(scanned).write.parquet(f"{scratch}/words")
-    return scanned.select("doc_id", "base"), context_spans(docs.sparkSession.read.parquet(f"{scratch}/words"))
+def trusted_patterns(scanned: DataFrame, scratch: str, confidence: float = CONFIDENCE, support: int = MIN_SUPPORT) -> DataFrame:
+    """Context patterns of high confidence, written under ``scratch``."""
+    spark = scanned.sparkSession
+    candidates(scanned).select("instance", "pattern", "seed").write.parquet(f"{scratch}/words")
+    scored = score_patterns(spark.read.parquet(f"{scratch}/words"), f"{scratch}/rounds")
+    scored.filter((F.col("confidence") >= confidence) & (F.col("support") >= support)).select("pattern").write.parquet(f"{scratch}/trusted")
+    return spark.read.parquet(f"{scratch}/trusted")
 
 
-def _all_spans() -> Column:
-    return F.array_sort(F.concat("base", F.coalesce("more", F.expr(f"cast(array() as array<{SPAN}>)"))))
+def _all_spans(more: Column) -> Column:
+    found = F.transform(more, lambda c: F.struct(c["start"].alias("start"), F.lit(4).alias("kind"), c["end"].alias("end")))
+    return F.array_sort(F.array_distinct(F.concat("base", found)))
+
+
+def with_all_spans(scanned: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``scanned`` (doc_id, digest, base, words and others) with ``spans``: base spans and unseen identifiers."""
+    cores = scanned.withColumn("cores", _cores(F.col("words"), F.col("base"))).drop("words")
+    size = trusted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("pattern")), F.lit(0)).alias("chars")).first()
+    if size.n <= MOST and size.chars <= MOST_CHARS:
+        known = [r.pattern for r in trusted.collect()]
+        own = F.filter("cores", lambda c: c["pattern"].isin(known)) if known else F.filter("cores", lambda c: F.lit(False))
+        return cores.withColumn("spans", _all_spans(own)).drop("cores")
+    hits = (
+        cores.select("doc_id", "digest", F.explode("cores").alias("c")).withColumn("pattern", F.col("c.pattern"))
+        .join(trusted, "pattern", "left_semi").groupBy("doc_id", "digest").agg(F.collect_set("c").alias("more"))
+        .withColumnsRenamed({"doc_id": "d", "digest": "g"})
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("digest").eqNullSafe(F.col("g"))
+    joined = cores.join(hits, same, "left").drop("d", "g")
+    none = F.filter("cores", lambda c: F.lit(False))
+    return joined.withColumn("spans", _all_spans(F.coalesce("more", none))).drop("cores", "more")
 
 
 def find(docs: DataFrame, scratch: str) -> DataFrame:
     """doc_id, base spans and all spans of every row."""
-    scanned, more = _scanned(docs, scratch)
-    return scanned.join(more, "doc_id", "left").select("doc_id", "base", _all_spans().alias("spans"))
+    scan(docs).write.parquet(f"{scratch}/scan")
+    scanned = docs.sparkSession.read.parquet(f"{scratch}/scan")
+    return with_all_spans(scanned, trusted_patterns(scanned, scratch)).select("doc_id", "base", "spans")
 
 
 def mask(text: Column, spans: Column) -> Column:
@@ -218,12 +254,15 @@ def mask(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, scratch: str) -> DataFrame:
-    """``docs`` with personal data in ``text`` masked; other columns and all rows stay."""
-    _, more = _scanned(docs, scratch)
-    inner = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("key"), "text")
-    marked = with_spans(inner).drop("seeds", "words", "text")
-    joined = marked.join(more.withColumnRenamed("doc_id", "key"), "key", "left")
-    masked = joined.select("row", mask(F.col("row.text"), _all_spans()).alias("masked"))
+    """``docs`` with personal data in ``text`` masked; other columns and all rows stay.
+
+    The texts are read twice: for the patterns, and to be masked where they are.
+    """
+    trusted = trusted_patterns(scan(docs), scratch)
+    row = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
+    inner = docs.select(row, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = with_spans(inner.withColumn("digest", F.xxhash64("text"))).drop("seeds")
+    masked = with_all_spans(marked, trusted).select("row", mask(F.col("text"), F.col("spans")).alias("masked"))
     return masked.select(*(F.col("masked").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
@@ -234,9 +273,11 @@ def _listed(spans: str) -> Column:
     ), ",")
 
 
+def _counted(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"), scratch_folder(spark, "pii"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)
-    ]
+    counts = [_counted(k).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))

@@ -282,6 +282,34 @@ def test_personal_data(spark, docs, empty, tmp_path_factory):
     assert pii.find(empty, folder(tmp_path_factory)).count() == 0
 
 
+def test_personal_data_query_columns(spark, tmp_path):
+    """Every column of the query against the plain patterns, with repeated and null ids and clashing columns."""
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    texts += [(1, "mail a@b.de, a@c.de and 10.0.0.1 or +1 (509) 555-6973 or 4111 1111 1111 1111"), (1, None), (None, "x@y.zz"), (7, "")]
+    df = spark.createDataFrame([(i, t, "b", 1) for i, t in texts], "doc_id long, text string, base string, n_email int")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["op9_personal_data"](spark, str(tmp_path)).collect()
+    want = []
+    for i, t in texts:
+        spans = base_pii(t or "")
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        counts = [sum(k == n for _, k, _ in spans) for n in range(4)]
+        want.append((i, *counts, hashlib.sha256(listed.encode()).hexdigest(), listed))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("most", [pii.MOST, 0])
+def test_repeated_ids_keep_their_own_spans(spark, tmp_path, monkeypatch, most):
+    """Another text of the same id is not masked at foreign places, with literal and with joined patterns."""
+    monkeypatch.setattr(pii, "MOST", most)
+    rows = [(i, f"reach me at {i}x@mail.example.com today") for i in range(14)]
+    other = "a harmless second text that shares its id with the first"
+    rows += [(50, "reach me at account-99187 today"), (50, other), (None, "reach me at account-99188 today"), (None, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pii.redact(df, str(tmp_path / "m")).filter("doc_id = 50 or doc_id is null").collect()
+    assert sorted(r.text for r in got) == [other, other] + ["reach me at [CONTEXT] today"] * 2
+
+
 def test_every_base_span_is_a_seed(spark, tmp_path_factory):
     seeds = [f"reach me at {i}x@mail.example.com today" for i in range(9)] + ["reach me at account-99187 today"]
     seeds += [f"n0 my line +1 (509) 555-{1000 + i} ok" for i in range(9)] + ["see my line 5556973 ok", "a 7 x " + "-" * 200 + " line 5556973"]
