@@ -8,12 +8,13 @@ halving, and it counts if that place is below the shingle's weight.  Every slot
 point.  Two signatures agree in a slot with a chance equal to the weighted Jaccard index.  Points after the
 time by which all slots are full are never drawn, so the work is near linear in the text.
 
-Texts of equal multisets form one group first.  Group representatives meet in bands of the signature;
+Texts of equal multisets form one group first, named by the multiset's digest.  Groups meet in bands of the signature;
 in each band bucket all members are compared with a centre (the member that shares most buckets),
-by multiset overlap of the real shingles.  Members of a bucket that are then still in different
-classes are compared block by block in products of their shingle matrices, so no link between
-documents that share a bucket is lost and no pair is written but the links found.
-Classes are the connected components of the verified links.
+by multiset overlap of the real shingles, which are written once for all members of buckets.  Members of a bucket
+that are then still in different classes meet block by block: first by a byte of each signature slot, which leaves those
+with a partner that agrees in ``LIKELY`` of the slots (at a similarity of 0.8 or more that fails with a chance of about 1e-13), then in
+products of their shingle matrices.  So no link between documents that share a bucket is lost and no
+pair is written but the links found.  Classes are the connected components of the verified links.
 
 Null texts and texts without a word have no shingle and are classes of their own.  Rows that
 repeat a doc_id share its class (of the smallest of its multisets); rows without an id are left out.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ BANDS, ROWS = 32, 6
 SLICE = 1 << 20
 #: Rows and shingles of one block of a bucket, and columns of one matrix product.
 BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 2048
+#: Members that are compared with one copy of their centre, and the share of slots that a link must have in common.
+STAR, LIKELY = 4096, 0.55
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -131,15 +135,15 @@ def signatures(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n_rows: int
     return point
 
 
-def overlap(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> float:
-    """Weighted Jaccard index of two multisets, each sorted by hash."""
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(na[i], nb[j]).sum())
-    return shared / max(int(na.sum() + nb.sum()) - shared, 1)
+def digests(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n_rows: int) -> np.ndarray:
+    """A digest of each row's multiset; 0: no shingle."""
+    out = np.zeros(n_rows, np.uint64)
+    np.add.at(out, row, mix(key * C1 + weight.astype(np.uint64)))
+    return out
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, digest of the multiset (0: no shingle) and band keys of every document."""
+    """doc_id, digest of the multiset (0: no shingle), band keys and a byte of each slot of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,43 +154,51 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 for j in range(rows):
                     band = mix(band * C1 + sign[:, j::rows] + np.uint64(j + 1))
                 band = mix(band + mix(np.arange(1, bands + 1, dtype=np.uint64)))
-                digest = np.zeros(part.num_rows, np.uint64)
-                np.add.at(digest, row, mix(key * C1 + weight.astype(np.uint64)))
+                digest = digests(row, key, weight, part.num_rows)
                 flat = pa.array(band.view(np.int64).ravel())
+                low = np.ascontiguousarray(sign.astype(np.uint8))
+                ends = pa.py_buffer(np.arange(0, low.size + 1, bands * rows, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(digest.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), flat)],
-                    names=["doc_id", "digest", "bands"],
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), flat),
+                     pa.Array.from_buffers(pa.binary(), part.num_rows, [None, ends, pa.py_buffer(low)])],
+                    names=["doc_id", "digest", "bands", "slots"],
                 )
 
-    return key_text(docs).filter("doc_id is not null").mapInArrow(work, "doc_id bigint, digest bigint, bands array<bigint>")
+    return key_text(docs).filter("doc_id is not null").mapInArrow(
+        work, "doc_id bigint, digest bigint, bands array<bigint>, slots binary"
+    )
+
 
+def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (member, centre) whose multiset overlap reaches ``similarity``, from the bags of both.
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose multiset overlap reaches ``similarity``."""
+    A member's bag moves once for each of its centres, a centre's once for ``STAR`` of its members.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, bag = None, np.zeros(0, np.int64)
         for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            good, held = [], {}
-            for x, y in zip(left, right, strict=True):
-                sides = []
-                for t in (x, y):
-                    if t not in held:
-                        if len(held) > 256:
-                            held.clear()
-                        held[t] = shingles([t])[1:]
-                    sides.append(held[t])
-                (a, na), (b, nb) = sides
-                good.append(overlap(a, na, b, nb) >= similarity)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    texts = key_text(docs).filter("doc_id is not null")
-    joined = (
-        pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "left"}), "a")
-        .join(texts.withColumnsRenamed({"doc_id": "b", "text": "right"}), "b")
-    )
-    return joined.select("a", "b", "left", "right").mapInArrow(work, "a bigint, b bigint").distinct()
+            ids, centres = batch.column("rep").to_numpy(), batch.column("centre").to_numpy()
+            keys = batch.column("keys")
+            flat, ends = keys.flatten().to_numpy(zero_copy_only=False), keys.offsets.to_numpy()
+            ends, good = ends - ends[0], np.zeros(len(ids), bool)
+            for i, (rep, of) in enumerate(zip(ids.tolist(), centres.tolist(), strict=True)):
+                own = flat[ends[i] : ends[i + 1]]
+                if rep == of:  # a centre comes before its members
+                    centre, bag = rep, np.sort(own)
+                elif of == centre:
+                    shared = int((bag[np.minimum(np.searchsorted(bag, own), len(bag) - 1)] == own).sum())
+                    good[i] = shared / max(len(bag) + len(own) - shared, 1) >= similarity
+            yield batch.select(["rep", "centre"]).rename_columns(["a", "b"]).filter(pa.array(good))
+
+    many = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    members = pairs.join(many, "centre").select("rep", "centre", part.alias("part"))
+    centres = many.select(F.col("centre").alias("rep"), "centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    both = members.unionAll(centres).join(held.select("rep", "keys").hint("merge"), "rep")
+    dealt = both.repartition("centre", "part").sortWithinPartitions("centre", "part", F.col("rep") != F.col("centre"))
+    return dealt.select("rep", "centre", "keys").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame, scratch: str) -> DataFrame:
@@ -216,7 +228,7 @@ def components(edges: DataFrame, scratch: str) -> DataFrame:
 
 
 def bags(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """rep and the hashes of its shingles; a shingle's further copies have hashes of their own."""
+    """rep and the hashes of its shingles, for members (rep, first: a document of it); a shingle's further copies have hashes of their own."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,10 +239,13 @@ def bags(docs: DataFrame, members: DataFrame) -> DataFrame:
                 flat = mix(np.repeat(key, weight) + copy * C1)
                 ends = np.searchsorted(np.repeat(row, weight), np.arange(part.num_rows + 1)).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), keys], names=["rep", "keys"])
+                own = pa.array(digests(row, key, weight, part.num_rows).view(np.int64))
+                out = pa.RecordBatch.from_arrays([part.column("rep"), keys], names=["rep", "keys"])
+                yield out.filter(pc.equal(own, part.column("rep")))  # other texts may have the same id
 
-    texts = key_text(docs).join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    return texts.mapInArrow(work, "rep bigint, keys array<bigint>")
+    # One join for all comparisons to come; merged at every size, as both sides grow with the input.
+    texts = key_text(docs).join(members.withColumnRenamed("first", "doc_id").hint("merge"), "doc_id").select("rep", "text")
+    return texts.mapInArrow(work, "rep bigint, keys array<bigint>").dropDuplicates(["rep"]).withColumn("n", F.size("keys"))
 
 
 def tile_links(reps: np.ndarray, roots: np.ndarray, flat: np.ndarray, sizes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
@@ -275,12 +290,45 @@ def tile_links(reps: np.ndarray, roots: np.ndarray, flat: np.ndarray, sizes: np.
     return found
 
 
-def bucket_links(rest: DataFrame, docs: DataFrame, similarity: float, scratch: str) -> DataFrame:
+def likely(slots: np.ndarray, roots: np.ndarray, share: float) -> np.ndarray:
+    """Which members agree in that share of their slots with a member of another root?"""
+    _, root = np.unique(roots, return_inverse=True)
+    outside = np.flatnonzero(root != np.bincount(root).argmax())
+    same = np.zeros((len(outside), len(root)), np.int16)
+    for column in slots.T:
+        same += column[outside][:, None] == column[None, :]
+    near = (same >= share * slots.shape[1]) & (root[outside][:, None] != root[None, :])
+    found = near.any(axis=0)
+    found[outside] |= near.any(axis=1)
+    return found
+
+
+def tiled(rest: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rest`` (band, rep and others) once for each tile (i, j): two blocks of one bucket, by ``sizes`` (rep, n)."""
+    sums = rest.join(sizes, "rep").groupBy("band").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")),
+    )
+    made = rest.join(sums, "band").withColumn("block", block).withColumn("tile", F.explode(others))
+    return made.select(*rest.columns, "tile.i", "tile.j")
+
+
+def bucket_links(rest: DataFrame, held: DataFrame, reps: DataFrame, similarity: float, scratch: str) -> DataFrame:
     """Links (a, b) between members (band, rep, root) of one bucket that are in different roots.
 
     A bucket is cut into blocks of bounded rows and shingles, and each two blocks meet in one
     tile.  A tile returns at most one link per member, never its pairs.
     """
+    share = LIKELY * similarity / SIMILARITY
+
+    def sieve(tile: pa.Table) -> pa.Table:
+        raw = b"".join(tile.column("slots").to_pylist())
+        slots = np.frombuffer(raw, np.uint8).reshape(tile.num_rows, -1)
+        return tile.select(["band", "rep", "root"]).filter(pa.array(likely(slots, tile.column("root").to_numpy(), share)))
 
     def work(tile: pa.Table) -> pa.Table:
         tile = tile.combine_chunks()
@@ -291,21 +339,11 @@ def bucket_links(rest: DataFrame, docs: DataFrame, similarity: float, scratch: s
         a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    bags(docs, rest.select("rep").distinct()).withColumn("n", F.size("keys")).write.parquet(f"{scratch}/bags")
-    held = rest.sparkSession.read.parquet(f"{scratch}/bags")
-    sums = rest.join(held.select("rep", "n"), "rep").groupBy("band").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")),
-    )
-    tiles = rest.join(sums, "band").join(held, "rep").withColumn("block", block).withColumn("tile", F.explode(others))
-    return (
-        tiles.select("band", "tile.i", "tile.j", "rep", "root", "keys").groupBy("band", "i", "j")
-        .applyInArrow(work, "a bigint, b bigint").distinct()
-    )
+    sketched = tiled(rest, reps.select("rep", F.lit(0).alias("n"))).join(reps.select("rep", "slots"), "rep")
+    sketched.groupBy("band", "i", "j").applyInArrow(sieve, "band bigint, rep bigint, root bigint").distinct().write.parquet(f"{scratch}/sieved")
+    left = rest.sparkSession.read.parquet(f"{scratch}/sieved")
+    tiles = tiled(left, held.select("rep", "n")).join(held.select("rep", "keys"), "rep")
+    return tiles.groupBy("band", "i", "j").applyInArrow(work, "a bigint, b bigint").distinct()
 
 
 def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -317,29 +355,34 @@ def classes(docs: DataFrame, scratch: str, similarity: float = SIMILARITY, bands
     of = made.groupBy("doc_id").agg(F.min("digest").alias("digest")).select(
         "doc_id", "digest", F.when(F.col("digest") == 0, F.col("doc_id")).alias("alone")
     )
-    reps = made.filter("digest <> 0").groupBy("digest").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("rep"))
-    reps.write.parquet(f"{scratch}/reps")
+    made.filter("digest <> 0").groupBy("digest").agg(
+        F.min_by(F.struct("bands", "slots"), "doc_id").alias("s"), F.min("doc_id").alias("first")
+    ).select(F.col("digest").alias("rep"), "first", "s.bands", "s.slots").write.parquet(f"{scratch}/reps")
     reps = spark.read.parquet(f"{scratch}/reps")
-    member = reps.select("rep", F.explode("bands").alias("band"))
+    member = reps.select("rep", F.explode("bands").alias("band")).repartition("band")  # one shuffle for both uses
     size = member.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    member.join(size, "band").write.parquet(f"{scratch}/members")
+    member.join(size.hint("merge"), "band").write.parquet(f"{scratch}/members")
     members = spark.read.parquet(f"{scratch}/members")
     degree = members.groupBy("rep").agg(F.sum("n").alias("degree"))
-    centre = members.join(degree, "rep").groupBy("band").agg(F.max(F.struct("degree", -F.col("rep"))).alias("top"))
-    centre = centre.select("band", (-F.col("top")["col2"]).alias("centre"))
-    pairs = members.join(centre, "band").filter("rep <> centre").select(
-        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")
-    ).distinct()
-    pairs.write.parquet(f"{scratch}/pairs")
-    verified(spark.read.parquet(f"{scratch}/pairs"), docs, similarity).write.parquet(f"{scratch}/links")
+    centre = members.join(degree, "rep").groupBy("band").agg(F.max(F.struct("degree", "rep")).alias("top"))
+    centre = centre.select("band", F.col("top.rep").alias("centre"))
+    members.join(centre, "band").filter("rep <> centre").select("rep", "centre").distinct().write.parquet(f"{scratch}/pairs")
+    needed = reps.select("rep", "first").join(degree.select("rep"), "rep", "left_semi")
+    bags(docs, needed).write.parquet(f"{scratch}/bags")
+    held = spark.read.parquet(f"{scratch}/bags")
+    verified(spark.read.parquet(f"{scratch}/pairs"), held, similarity).write.parquet(f"{scratch}/links")
     links = spark.read.parquet(f"{scratch}/links")
     root = components(links, f"{scratch}/first")
     placed = members.join(root, members.rep == root.node, "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
     placed.join(mixed, "band").write.parquet(f"{scratch}/mixed")
-    bucket_links(spark.read.parquet(f"{scratch}/mixed"), docs, similarity, scratch).write.parquet(f"{scratch}/links2")
+    bucket_links(spark.read.parquet(f"{scratch}/mixed"), held, reps, similarity, scratch).write.parquet(f"{scratch}/links2")
     root = components(links.unionAll(spark.read.parquet(f"{scratch}/links2")), f"{scratch}/second")
-    grouped = reps.join(root, reps.rep == root.node, "left").select("digest", F.coalesce("root", "rep").alias("class_id"))
+    placed = reps.select("rep", "first").join(root, F.col("rep") == F.col("node"), "left").select(
+        F.col("rep").alias("digest"), "first", F.coalesce("root", "rep").alias("root")
+    )
+    least = placed.groupBy("root").agg(F.min("first").alias("class_id"))
+    grouped = placed.join(least, "root").select("digest", "class_id")
     return of.join(grouped, "digest", "left").select("doc_id", F.coalesce("class_id", "alone").alias("class_id"))
 
 

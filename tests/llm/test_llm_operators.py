@@ -67,6 +67,15 @@ def test_near_duplicates_match_brute_force(spark, docs, empty, tmp_path_factory)
     assert near_duplicates.classes(empty, folder(tmp_path_factory)).count() == 0
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark, tmp_path):
+    """Another text of a repeated id neither hides nor replaces a group's shingles."""
+    a, b = prose(31, 90), prose(32, 90)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, prose(33, 90))]
+    got = {r.doc_id: r.class_id for r in near_duplicates.classes(
+        spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "n")).dropDuplicates(["doc_id"]).collect()}
+    assert got[4] == 4 and {got[2], got[3]} == {1}
+
+
 def test_links_between_blocks_of_a_bucket_are_all_found(spark, tmp_path, monkeypatch):
     """Near copies of one text in one bucket, over many blocks: the same components as brute force."""
     r, base = random.Random(5), prose(21, 90).split()
@@ -82,10 +91,14 @@ def test_links_between_blocks_of_a_bucket_are_all_found(spark, tmp_path, monkeyp
     assert 1 < len(set(root)) < 60
     monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 7)
     monkeypatch.setattr(near_duplicates, "COLUMNS", 16)
-    rest = spark.createDataFrame([(1, i, i) for i in range(60)], "band long, rep long, root long")
-    found = near_duplicates.bucket_links(rest, docs, 0.8, str(tmp_path / "tiles")).collect()
+    made = near_duplicates.sketches(docs).filter("digest <> 0").withColumnRenamed("digest", "rep").cache()
+    number = {r.rep: r.doc_id for r in made.collect()}
+    assert len(number) == 60
+    rest = made.selectExpr("1L as band", "rep", "rep as root")
+    held = near_duplicates.bags(docs, made.selectExpr("rep", "doc_id as first")).cache()
+    found = near_duplicates.bucket_links(rest, held, made, 0.8, str(tmp_path / "tiles")).collect()
     mine = list(range(60))
-    for a, b in found:
+    for a, b in ((number[f.a], number[f.b]) for f in found):
         mine = [min(mine[a], mine[b]) if x in (mine[a], mine[b]) else x for x in mine]
     assert mine == root
 
