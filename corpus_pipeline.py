@@ -2,7 +2,7 @@
 
 Order: keep texts whose language is recognised, keep one document of each near-duplicate
 class, drop documents that hold a benchmark item, mask personal data, encode to token ids.
-Rows without a doc_id pass the near-duplicate stage untouched.  ORACLE_SQL is None: language
+Rows without a doc_id have no near-duplicate class; equal texts among them become one.  ORACLE_SQL is None: language
 models, sketches and byte-pair merges have no SQL twin; tests compare with brute force.
 """
 
@@ -22,16 +22,27 @@ ORACLE_SQL = None
 
 
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is recognised; models learn from the stage's own labelled rows."""
+    """Rows whose language is recognised; models learn from the stage's own labelled rows.
+
+    The rows travel inside a struct, so their columns may have any names.
+    """
     model = language.train(language.held_out(docs).filter(~F.col("held_out")))
-    return language.identify(docs, model).filter("accepted").select(*docs.columns)
+    row = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
+    kept = language.identify(docs.select(row, "text"), model).filter("accepted")
+    return kept.select(*[f"row.`{c}`" for c in docs.columns])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each near-duplicate class."""
+    """One document (the smallest id) of each near-duplicate class, and one row of each of its texts.
+
+    Rows move once, by id; the sides are merged at every size, as both grow with the input.
+    """
     classes = near_duplicates.classes(docs, scratch_folder(spark, "near"))
-    others = classes.filter("doc_id <> class_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    others = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("key")).distinct()
+    row = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("bigint").alias("key"), F.xxhash64("text").alias("digest"))
+    kept = rows.join(others.hint("merge"), "key", "left_anti").dropDuplicates(["key", "digest"])
+    return kept.select(*[f"row.`{c}`" for c in docs.columns])
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
