@@ -65,6 +65,14 @@ def key_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return df.selectExpr(f"cast(`{key}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that finished jobs left: Spark deletes them when the driver collects their handles."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def once(key: tuple, make: Callable):
     """A value made once in each worker process (vocabularies take seconds to load); ``key`` names all it depends on."""
     import sys

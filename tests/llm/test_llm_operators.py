@@ -114,15 +114,34 @@ def test_signatures_are_unbiased():
     assert abs((s[0] == s[1]).mean() - want) < 0.03
 
 
-def test_repeats_match_brute_force(spark, docs, empty):
+def test_repeats_match_brute_force(spark, docs, empty, tmp_path):
     once = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     want = repeats.brute_force({r.doc_id: r.text or "" for r in once.collect()})
     got = {
-        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.strip(once).collect()
+        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.strip(once, str(tmp_path / "a")).collect()
     }
     assert got == want
-    assert repeats.strip(docs).count() == len(TEXTS)
-    assert repeats.strip(empty).count() == 0
+    assert repeats.strip(docs, str(tmp_path / "b")).count() == len(TEXTS)
+    assert repeats.strip(empty, str(tmp_path / "c")).count() == 0
+
+
+def test_repeats_over_many_small_batches(spark, tmp_path):
+    """Passages with many different surroundings, with groups of places cut by batches of three rows."""
+    r, shared = random.Random(8), [prose(40 + i, 14) for i in range(4)]
+    texts = {}
+    for i in range(60):
+        parts = [r.choice(shared) if r.random() < 0.5 else prose(1000 + 9 * i + j, 8) for j in range(4)]
+        texts[i] = "".join(r.choice("xyz") + p[r.randrange(4) :] for p in parts)
+    texts |= {60: texts[3], 61: texts[3], 62: "ab" * 200, 63: "b" + "ab" * 200}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+        rows = repeats.strip(df, str(tmp_path / "r")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(x.kept).hexdigest()) for x in rows}
+    assert got == repeats.brute_force(texts)
 
 
 def test_secrets(spark, docs, empty):
