@@ -132,7 +132,8 @@ def test_repeats_over_many_small_batches(spark, tmp_path):
     for i in range(60):
         parts = [r.choice(shared) if r.random() < 0.5 else prose(1000 + 9 * i + j, 8) for j in range(4)]
         texts[i] = "".join(r.choice("xyz") + p[r.randrange(4) :] for p in parts)
-    texts |= {60: texts[3], 61: texts[3], 62: "ab" * 200, 63: "b" + "ab" * 200}
+    line = "one line that comes again\n"
+    texts |= {60: texts[3], 61: texts[3], 62: "ab" * 200, 63: "b" + "ab" * 200, 64: line * 40, 65: "x" + line * 60 + "y"}
     size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
