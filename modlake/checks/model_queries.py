@@ -351,6 +351,54 @@ def train_linear_svm(spark, sf_dir):
     return _coefficients(spark, L.train_linear_svm(_training(spark, sf_dir), MODEL_FEATURES, "toxic"))
 
 
+@query("svm_stationarity", f"""{Q.LABELLED}
+SELECT f AS feature, 0.0::DOUBLE AS gradient, (SELECT count(*) FROM feats) AS rows
+FROM unnest({["(intercept)", *MODEL_FEATURES]}) AS t(f)""")
+def svm_stationarity(spark, sf_dir):
+    # The gradient of the objective at the trained model, by column expressions: zero at the minimum.
+    df = _training(spark, sf_dir)
+    model = L.train_linear_svm(df, MODEL_FEATURES, "toxic").linear
+    return L.svm_gradient(df, model, "toxic").withColumn("gradient", F.round("gradient", 6) + F.lit(0.0))
+
+
+_L1_STEPS, _L1_ALPHA, _L1_RATE = 6, 0.02, 0.1
+
+
+def _l1_sql():
+    """The same steps, unrolled: each CTE holds the coefficients after one more step."""
+    names = MODEL_FEATURES
+    scaled = ", ".join(f"({f} - avg({f}) OVER ()) / coalesce(nullif(stddev_pop({f}) OVER (), 0), 1) AS x_{f}" for f in names)
+    parts = [f"s AS MATERIALIZED (SELECT toxic, {scaled} FROM feats)",
+             f"w0 AS (SELECT 0.0::DOUBLE AS b, {', '.join(f'0.0::DOUBLE AS c_{f}' for f in names)})"]
+    logit = " + ".join(["b", *[f"c_{f} * x_{f}" for f in names]])
+    for k in range(1, _L1_STEPS + 1):
+        moved = [f"min(c_{f}) - {_L1_RATE} * avg(r * x_{f}) AS c_{f}" for f in names]
+        soft = [f"sign(c_{f}) * greatest(abs(c_{f}) - {_L1_ALPHA * _L1_RATE!r}, 0) AS c_{f}" for f in names]
+        parts.append(
+            f"w{k} AS MATERIALIZED (SELECT b, {', '.join(soft)} FROM (SELECT min(b) - {_L1_RATE} * avg(r) AS b, {', '.join(moved)} "
+            f"FROM (SELECT *, 1 / (1 + exp(-({logit}))) - toxic AS r FROM s, w{k - 1})))"
+        )
+    rows = [f"SELECT '(intercept)' AS feature, round(b, 9) + 0.0 AS coef FROM w{_L1_STEPS}"]
+    rows += [f"SELECT '{f}', round(c_{f}, 9) + 0.0 FROM w{_L1_STEPS}" for f in names]
+    return f"{Q.LABELLED}, " + ", ".join(parts) + " " + " UNION ALL ".join(rows)
+
+
+@query("l1_descent", _l1_sql())
+def l1_descent(spark, sf_dir):
+    model, _ = L.train_l1_steps(
+        _training(spark, sf_dir), MODEL_FEATURES, "toxic", _L1_ALPHA, learning_rate=_L1_RATE, max_iter=_L1_STEPS
+    )
+    rows = [("(intercept)", model.linear.intercept), *model.importance.items()]
+    return spark.createDataFrame([(f, round(c, 9) + 0.0) for f, c in rows], "feature string, coef double")
+
+
+@query("stratified_folds", """SELECT toxic, doc_id,
+  CAST((row_number() OVER (PARTITION BY toxic ORDER BY md5(CAST(doc_id AS VARCHAR) || ':43'), doc_id) - 1) % 3 AS INTEGER) AS fold
+FROM labels""")
+def stratified_folds(spark, sf_dir):
+    return L.folded(I.table(spark, sf_dir, "labels").select("toxic", "doc_id"), "doc_id", 3, 42, "toxic")
+
+
 @query("train_random_forest")
 def train_random_forest(spark, sf_dir):
     df = _training(spark, sf_dir)
@@ -362,7 +410,7 @@ def train_random_forest(spark, sf_dir):
 def _grid(spark, sf_dir):
     return L.grid_search(
         _training(spark, sf_dir), MODEL_FEATURES, "toxic", "doc_id", L.train_l2_logistic,
-        {"c": (0.1, 10.0)},
+        {"c": (0.01, 0.1, 1.0, 10.0)},
     )
 
 

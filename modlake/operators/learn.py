@@ -14,16 +14,18 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modlake.operators.columns import column_stats
+from modlake.operators.iterative import Descent, blocks, l1_descent, squared_hinge
 from modlake.operators.linear import LinearModel
 from modlake.operators.metrics import basic_metrics, classification_report, f1_threshold, ranking_metrics
 from modlake.operators.prefix import running_totals
+from modlake.session import scratch_folder
 
 BUCKETS = 1_000_000
 MAX_DEPTH = 30  # Spark's limit; stands for no limit given
@@ -63,9 +65,25 @@ def stratified_split(
     return placed.join(F.broadcast(cut), label).withColumn("split", part).drop("_b", "_cut")
 
 
-def folded(df: DataFrame, key: str, folds: int = 3, seed: int = 42) -> DataFrame:
-    """Add ``fold`` (0..folds-1) by a hash of the key: equal shares in every class."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(folds)).cast("int"))
+def folded(df: DataFrame, key: str, folds: int = 3, seed: int = 42, label: str | None = None) -> DataFrame:
+    """Add ``fold`` (0..folds-1).  With ``label``, fold sizes differ by one at most in every class.
+
+    Rows of a class are ranked by a digest of key and seed, and dealt out in turn.  The ranks come from counts
+    of hash buckets (bounded) and places inside a bucket, so no class is sorted in one task.
+    """
+    if label is None:
+        return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(folds)).cast("int"))
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed + 1))))
+    bucket = F.conv(F.substring(digest, 1, 5), 16, 10).cast("int")  # 2 ** 20 buckets, in the order of digests
+    placed = _labelled(df, label).withColumn("_h", digest).withColumn("_b", bucket)
+    counts = placed.groupBy(label, "_b").agg(F.count("*").alias("_n")).withColumn("_c", F.floor(F.col("_b") / 4096))
+    before = running_totals(counts, {"_cum": "_n"}, keys=[label], chunk="_c", order=[F.col("_b")]).select(
+        label, "_b", (F.col("_cum") - F.col("_n")).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", F.col(key))) - 1
+    ranked = placed.withColumn("_i", inside).join(before, [label, "_b"])
+    fold = F.pmod(F.col("_before") + F.col("_i"), F.lit(folds)).cast("int")
+    return ranked.withColumn("fold", fold).select(*df.columns, "fold")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -181,26 +199,58 @@ def train_l2_logistic(
     return _linear(fit, features, scaler, threshold)
 
 
+def train_l1_steps(
+    df: DataFrame, features: Sequence[str], label: str, alpha: float = 0.01, *, learning_rate: float = 0.1,
+    tol: float = 1e-4, max_iter: int = 2000, weight: str | None = None, threshold: float = 0.5,
+) -> tuple[Fitted, Descent]:
+    """L1 logistic regression by proximal-gradient steps on scaled features, with a learning rate and a stop rule.
+
+    The number of steps, the last change and whether it fell below ``tol`` come back with the model.
+    """
+    _checked(df, label)
+    scaler = fitted_scaler(df, features)
+    packed = blocks(apply_scaler(df, scaler), features, label, weight, scratch_folder(df.sparkSession, "l1"))
+    end = l1_descent(packed, len(features), alpha=alpha, rate=learning_rate, tol=tol, max_iter=max_iter)
+    linear = _as_linear(end, features, scaler, threshold)
+    return Fitted(
+        lambda rows: rows.withColumn("y_score", linear.probability()), dict(zip(features, end.coef.tolist())), True, linear
+    ), end
+
+
 def train_linear_svm(
-    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, *, max_iter: int = 60
+    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, *, max_iter: int = 50, tol: float = 1e-9
 ) -> Fitted:
-    """Linear SVM with balanced classes; scores are margins, not probabilities."""
-    n = _checked(df, label)
+    """Linear SVM (squared hinge, penalised intercept) with balanced classes; scores are margins, not probabilities."""
+    _checked(df, label)
     scaler = fitted_scaler(df, features)
-    data = _assembled(apply_scaler(with_balanced_weight(df, label), scaler), features)
-    fit = LinearSVC(
-        featuresCol="_x", labelCol=label, weightCol="weight", regParam=1.0 / (c * n),
-        standardization=False, maxIter=max_iter, tol=1e-5,
-    ).fit(data)
-    coefs = [float(v) for v in fit.coefficients]
-    terms = {f: (*scaler[f], v) for f, v in zip(features, coefs)}
-    linear = LinearModel(float(fit.intercept), terms, 0.0)
+    data = apply_scaler(with_balanced_weight(df, label), scaler)
+    packed = blocks(data, features, label, "weight", scratch_folder(df.sparkSession, "svm"))
+    end = squared_hinge(packed, len(features), c=c, max_iter=max_iter, tol=tol)
+    linear = _as_linear(end, features, scaler, 0.0)
     return Fitted(
-        lambda rows: rows.withColumn("y_score", linear.logit()),
-        dict(zip(features, coefs)), False, linear,
+        lambda rows: rows.withColumn("y_score", linear.logit()), dict(zip(features, end.coef.tolist())), False, linear
     )
 
 
+def _as_linear(end: Descent, features: Sequence[str], scaler: dict, threshold: float) -> LinearModel:
+    return LinearModel(end.intercept, {f: (*scaler[f], float(v)) for f, v in zip(features, end.coef)}, threshold)
+
+
+def svm_gradient(df: DataFrame, model: LinearModel, label: str, c: float = 1.0) -> DataFrame:
+    """Gradient of the squared-hinge objective at a model, by weight of rows; zero at its minimum.  One aggregate."""
+    rows = with_balanced_weight(df, label)
+    side = 2 * F.col(label).cast("double") - 1
+    pull = -2 * F.lit(float(c)) * F.col("weight") * side * F.greatest(F.lit(0.0), 1 - side * model.logit())
+    total = F.sum("weight")
+
+    def row(name: str, coef: float, x: Column) -> Column:
+        return F.struct(F.lit(name).alias("feature"), ((F.lit(coef) + F.sum(pull * x)) / total).alias("gradient"), F.count("*").alias("rows"))
+
+    found = [row("(intercept)", model.intercept, F.lit(1.0))]
+    found += [row(f, coef, model.scaled(f)) for f, (_, _, coef) in model.terms.items()]
+    return rows.agg(F.array(*found).alias("r")).select(F.inline("r"))
+
+
 def train_random_forest(
     df: DataFrame, features: Sequence[str], label: str, *, trees: int = 100,
     max_depth: int | None = None, min_split: int = 2, seed: int = 42,
@@ -282,7 +332,7 @@ def grid_search(
     Each fit and each evaluation is a distributed job; the driver only keeps one
     number per cell.
     """
-    data = folded(df, key, folds, seed)
+    data = folded(df, key, folds, seed, label)
     names = list(grid)
     cells = list(product(*grid.values()))
 
@@ -321,7 +371,7 @@ def out_of_fold_scores(
     *, folds: int = 3, seed: int = 42, **params,
 ) -> DataFrame:
     """``(key, y_true, y_score)``: each row scored by a model that has not seen it."""
-    data = folded(df, key, folds, seed)
+    data = folded(df, key, folds, seed, label)
     parts = []
     for fold in range(folds):
         model = trainer(data.filter(F.col("fold") != fold), features, label, **params)
@@ -349,7 +399,7 @@ def feature_ablation(
     full = train_random_forest(train, features, label, **forest)
     ranked = sorted(features, key=lambda f: (-full.importance[f], f))
     spark, rows = train.sparkSession, []
-    data = folded(train, key, folds)
+    data = folded(train, key, folds, label=label)
     seen, held = data.filter(F.col("fold") != folds - 1), data.filter(F.col("fold") == folds - 1)
     for name, chosen in [("all", list(features))] + [(f"top_{k}", ranked[:k]) for k in tops]:
         model = full if name == "all" else train_random_forest(train, chosen, label, **forest)
