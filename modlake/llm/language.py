@@ -36,6 +36,8 @@ FIT_ROWS, CALIBRATION_ROWS = 20_000, 2_000
 #: A letter, or a code point that Java's tables do not know yet.
 LETTER = r"[\p{L}\p{Cn}]"
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Text bytes of one numpy step; its arrays take some fifty times as much.
+SLICE = 1 << 20
 
 
 def letter_table() -> np.ndarray:
@@ -77,7 +79,7 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, held = letter_table(), {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 g, row, _ = grams(part, "text", codes)
                 names, of = np.unique(np.array(part.column("lang").to_pylist(), object).astype(str), return_inverse=True)
                 which = of[row]
@@ -237,7 +239,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = letter_table()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 h, n, letters = entropies(part, "text", codes, shared.value)
                 which = np.array([codes_of[x] for x in part.column("lang").to_pylist()])
                 own = h[np.arange(len(which)), which]
@@ -263,7 +265,7 @@ def identify(docs: DataFrame, model: Identifier, text: str = "text") -> DataFram
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, known = letter_table(), shared.value
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 yield _predicted(part, text, codes, known, names)
 
     kinds = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("accepted", "boolean")]
