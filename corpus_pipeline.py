@@ -24,12 +24,12 @@ ORACLE_SQL = None
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is recognised; models learn from the stage's own labelled rows.
 
-    The rows travel inside a struct, so their columns may have any names.
+    Other columns travel under numbers, so they may have any names.
     """
     model = language.train(language.held_out(docs).filter(~F.col("held_out")))
-    row = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
-    kept = language.identify(docs.select(row, "text"), model).filter("accepted")
-    return kept.select(*[f"row.`{c}`" for c in docs.columns])
+    inner = {c: "text" if c == "text" else f"column {i}" for i, c in enumerate(docs.columns)}
+    kept = language.identify(docs.withColumnsRenamed(inner), model).filter("accepted")
+    return kept.select(*[F.col(f"`{n}`").alias(c) for c, n in inner.items()])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
