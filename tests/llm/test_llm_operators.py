@@ -416,5 +416,16 @@ def test_pipeline(spark):
     assert zlib.crc32(b"") == 0
 
 
+def test_pipeline_stages_keep_clashing_columns_and_one_of_repeated_rows(spark):
+    text = prose(50, 80)
+    rows = [(1, text, "en", "mine", 7), (1, text, "en", "mine", 7), (2, text, None, None, None), (None, None, None, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, digest int")
+    kept = corpus_pipeline.one_of_each(spark, df, SF)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[3]], key=str)
+    told = corpus_pipeline.recognised(spark, df, SF)
+    assert told.columns == df.columns and {r.score for r in told.collect()} <= {"mine", None}
+
+
 def pii_left(text):
     return re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
