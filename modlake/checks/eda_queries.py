@@ -85,9 +85,26 @@ def eda_duplicates(spark, sf_dir):
     return P.duplicate_rows(I.table(spark, sf_dir, "documents").drop("doc_id"))
 
 
-@query("eda_dtypes")
+_TYPED = ("doc_id", "text", "lang", "source", "n_chars", "toxic", "quality")
+
+
+def _dtype_sql() -> str:
+    number = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?[iI]nf(inity)?"
+    values = " UNION ALL ".join(f"SELECT '{c}' AS c, trim(CAST({c} AS VARCHAR), ' ') AS v FROM t" for c in _TYPED)
+    return f"""WITH t AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id)), vs AS ({values}),
+k AS (SELECT c, CASE WHEN v IS NULL OR v = '' OR lower(v) = 'nan' THEN 'hole' WHEN lower(v) IN ('true', 'false') THEN 'flag'
+  WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 'whole' WHEN regexp_full_match(v, '{number}') THEN 'fraction'
+  ELSE 'text' END AS kind FROM vs),
+f AS (SELECT c, list_sort(list(DISTINCT kind)) AS kinds FROM k GROUP BY c)
+SELECT CASE WHEN kinds = ['whole'] THEN 'int64' WHEN kinds = ['flag'] THEN 'bool'
+  WHEN list_contains(kinds, 'text') OR list_contains(kinds, 'flag') THEN 'object' ELSE 'float64' END AS dtype,
+  count(*) AS columns FROM f GROUP BY 1"""
+
+
+@query("eda_dtypes", _dtype_sql())
 def eda_dtypes(spark, sf_dir):
-    return P.dtype_counts(labelled(spark, sf_dir))
+    docs, labels = (I.table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return P.dtype_counts(docs.join(labels, "doc_id", "left").select(*_TYPED))
 
 
 @query("eda_label_distribution", """

@@ -274,13 +274,18 @@ def error_patterns(preds: DataFrame, scaled: dict[str, Column], top: list[str])
 
 def score_histogram(preds: DataFrame, bins: int = 29) -> DataFrame:
     """Rows per outcome in equal score bins over the whole range, zeros included."""
-    counts = preds.groupBy(outcome().alias("outcome"), "y_score").agg(F.count("*").alias("n"))
-    span = counts.agg(F.struct(F.min("y_score").alias("lo"), F.max("y_score").alias("hi")).alias("s")).scalar()
+    # Join keys are never NULL: an IS NOT NULL test on them would be pushed below the
+    # counts, which could then not serve the range and the bins by one shuffle.
+    counts = preds.groupBy(F.coalesce(outcome(), F.lit("")).alias("outcome"), "y_score").agg(F.count("*").alias("n"))
+    # The sum keeps the counts in the subquery's plan, so that it shares their shuffle.
+    span = counts.agg(F.struct(
+        F.min("y_score").alias("lo"), F.max("y_score").alias("hi"), F.sum("n").alias("n")
+    ).alias("s")).scalar()
     low, high = span["lo"], span["hi"]
     place = F.when(low == high, F.lit(bins - 1)).otherwise(
         bin_index(F.col("y_score"), low, high, bins)
     )
-    counted = counts.groupBy("outcome", place.alias("bin")).agg(F.sum("n").alias("count"))
+    counted = counts.groupBy("outcome", F.coalesce(place, F.lit(-1)).alias("bin")).agg(F.sum("n").alias("count"))
     grid = preds.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(o) for o in ("FP", "TN", "FN", "TP")])).alias("outcome")
     ).select("outcome", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

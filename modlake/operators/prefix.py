@@ -9,12 +9,14 @@ the window already has, so the join moves no big side again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNKS = 128
-SAMPLE = 4096
-STEP = 12
+#: Sampled values for each chunk of a group, of which the cut points are taken.
+PER_CHUNK = 32
+DRAWS = 1 << 30
 
 
 def running_totals(
@@ -65,63 +67,64 @@ def _cuts(sample: Column, chunks: int) -> Column:
     )
 
 
-def _every(cuts: Column) -> Column:
-    return F.filter(cuts, lambda c, i: i % STEP == 0)
-
-
 def with_chunks(
-    df: DataFrame, value: str, *, keys: list[str], chunks: int = CHUNKS, sample: int = SAMPLE
+    df: DataFrame, value: str, *, keys: list[str], chunks: int | None = None
 ) -> DataFrame:
     """Add ``_chunk``: value ranges holding about equally many rows per group.
 
-    The cut points come from the ``sample`` rows with the smallest row hash.
-    That choice depends on the data only, so every evaluation of the plan, also
-    after an executor is lost, sees the same chunks.  Hashing the whole row keeps
-    the sample's input identical to the main branch's, so one shuffle serves both.
-    ``keys`` must be few (names of columns or models); their cuts are broadcast.
+    A group has as many chunks as the session has shuffle partitions.  Cut points come
+    from about ``PER_CHUNK`` rows per chunk, those whose row hash is below a limit set by
+    the group's size: no group is sorted for it, and the choice depends on the data only,
+    so every evaluation of the plan, also after an executor is lost, sees the same chunks.
+    Hashing the whole row keeps the sample's input identical to the main branch's, so one
+    shuffle serves both.  ``keys`` must be few (names of columns or models); their cuts are
+    broadcast.
     """
-    row_hash = F.xxhash64(*df.columns)
-    hashed = df.select(*keys, value, row_hash.alias("_h"))
+    if chunks is None:
+        chunks = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    step = math.isqrt(chunks)
+    draw = F.pmod(F.xxhash64(*df.columns), F.lit(DRAWS))
+    below = F.lit(float(PER_CHUNK * chunks * DRAWS)) / F.col("_rows")
+    # The sizes read the value too (max): without it the pruned plan would be another one
+    # and could not share the main branch's shuffle.
+    sized = [F.count("*").alias("_rows"), F.max(F.xxhash64(*df.columns)).alias("_any")]
+    cuts = _cuts(F.collect_list(value), chunks).alias("_cuts")
+    every = F.filter("_cuts", lambda c, i: i % step == 0).alias("_every")
     if keys:
-        order = Window.partitionBy(*keys).orderBy("_h", value)
-        cuts = (
-            hashed.withColumn("_rn", F.row_number().over(order))
-            .filter(F.col("_rn") <= sample)
-            .groupBy(*keys)
-            .agg(_cuts(F.collect_list(value), chunks).alias("_cuts"))
-            .withColumn("_every", _every(F.col("_cuts")))
-        )
-        # A left join adds no IS NOT NULL test, so both branches keep the same input
+        # A left join adds no IS NOT NULL test, so all branches keep the same input
         # plan and Spark runs their common shuffle once.
-        placed = df.join(F.broadcast(cuts), keys, "left")
+        sizes = df.groupBy(*keys).agg(*sized)
+        picked = df.join(F.broadcast(sizes), keys, "left").filter((draw < below) & F.col("_any").isNotNull())
+        found = picked.groupBy(*keys).agg(cuts).select(*keys, "_cuts", every)
+        placed = df.join(F.broadcast(found), keys, "left")
     else:
-        picked = hashed.orderBy("_h", value).limit(sample)
-        both = (
-            picked.agg(_cuts(F.collect_list(value), chunks).alias("_cuts"))
-            .select(F.struct("_cuts", _every(F.col("_cuts")).alias("_every")).alias("c"))
-            .scalar()
-        )
+        size = df.agg(F.struct(*sized).alias("s")).scalar()
+        picked = df.withColumn("_s", size).select(*df.columns, "_s._rows").filter(draw < below)
+        both = picked.agg(cuts).select(F.struct("_cuts", every).alias("c")).scalar()
         placed = df.withColumn("_c", both).select(*df.columns, "_c._cuts", "_c._every")
-    return _locate(placed, value)
+    return _locate(placed, value, step)
 
 
-def _locate(df: DataFrame, value: str) -> DataFrame:
-    """Number of cuts at or below the value: first among every 12th, then inside."""
+def _locate(df: DataFrame, value: str, step: int) -> DataFrame:
+    """Number of cuts at or below the value: first among every ``step``-th, then inside."""
     def reached(cuts: Column) -> Column:
         return F.size(F.filter(cuts, lambda c: c <= F.col(value)))
 
-    block = df.withColumn("_start", F.greatest(reached(F.col("_every")) - 1, F.lit(0)) * STEP)
-    inside = reached(F.slice("_cuts", F.col("_start") + 1, F.lit(STEP)))
+    block = df.withColumn("_start", F.greatest(reached(F.col("_every")) - 1, F.lit(0)) * step)
+    inside = reached(F.slice("_cuts", F.col("_start") + 1, F.lit(step)))
     # Never NULL: a nullable join key would make the optimizer push an IS NOT NULL
     # test, and with it the computation of ``value``, below the aggregation.
     chunk = F.coalesce(F.col("_start") + inside, F.lit(0))
     return block.withColumn("_chunk", chunk).drop("_cuts", "_every", "_start")
 
 
+def present(value: str) -> Column:
+    return F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+
+
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Distinct non-missing values with their counts (combined before the shuffle)."""
-    present = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    return df.filter(present).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return df.filter(present(value)).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
 def exact_quantiles(

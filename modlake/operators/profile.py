@@ -71,16 +71,45 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def dtype_counts(df: DataFrame) -> DataFrame:
-    """How many columns each type has (the schema is the input)."""
-    types = F.array(*[F.lit(t) for _, t in df.dtypes])
+#: Whole-text patterns of the values of a column, narrowest first.
+WHOLE_NUMBER = r"[+-]?[0-9]+"
+NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?[iI]nf(inity)?"
+
+
+def _value_type(df: DataFrame, name: str) -> Column:
+    """Type of one column from the kinds of value seen in it (an aggregate)."""
+    value = F.trim(F.col(f"`{name}`").cast("string"))
+    missing = value.isNull() | (value == "") | (F.lower(value) == "nan")
+    flag = F.lower(value).isin("true", "false")
+    whole, number = (value.rlike(rf"\A(?:{p})\z") for p in (WHOLE_NUMBER, NUMBER))
+
+    def seen(kind: Column) -> Column:
+        return F.coalesce(F.bool_or(kind), F.lit(False))
+
+    holes, flags = seen(missing), seen(~missing & flag)
+    numbers, fractions, texts = seen(~missing & number), seen(~missing & number & ~whole), seen(~missing & ~flag & ~number)
     return (
-        df.sparkSession.range(1)
-        .select(F.explode(types).alias("dtype"))
-        .groupBy("dtype").agg(F.count("*").alias("columns"))
+        F.when(texts | (F.count("*") == 0) | (flags & (numbers | holes)), "object")
+        .when(flags, "bool")
+        .when(fractions | holes, "float64")
+        .otherwise("int64")
     )
 
 
+def dtype_counts(df: DataFrame) -> DataFrame:
+    """How many columns each type has, by the values a reader of text files would find.
+
+    Whole numbers without a gap are int64; numbers with a fraction or a gap, and columns
+    without any value, float64; true and false without a gap bool; all else, and tables
+    without rows, object.  Flags of the kinds seen are combined inside tasks: one scan, one
+    row per task shuffled.  Arrays and structs count as object.
+    """
+    plain = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "binary"))]
+    other = [F.lit("object")] * (len(df.columns) - len(plain))
+    types = df.agg(F.array(*[_value_type(df, c) for c in plain], *other).alias("t"))
+    return types.select(F.explode("t").alias("dtype")).groupBy("dtype").agg(F.count("*").alias("columns"))
+
+
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
     total = df.agg(F.count("*").alias("n")).scalar()
@@ -288,8 +317,14 @@ def class_histograms(
     class, so values outside the range lower the sum.
     """
     features, binary = list(features), list(binary)
-    by_class = class_counts(df, label, features)
-    overall = by_class.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    # One exchange of counts serves limits, bins and class sizes.  Missing values are
+    # counted too, for the sizes; a filter on the value would be pushed below the counts,
+    # as would the IS NOT NULL of a join on a name that may be NULL.
+    by_class = long_form(
+        df.filter(F.col(label).isin(0, 1)).withColumnRenamed(label, "label"), features, ["label"]
+    ).groupBy("label", F.coalesce("feature", F.lit("")).alias("feature"), "value").agg(F.count("*").alias("n"))
+    held = F.when(prefix.present("value"), F.col("n")).otherwise(0)
+    overall = by_class.groupBy("feature", "value").agg(F.sum(held).alias("n")).filter("n > 0")
     limits = prefix.exact_quantiles(overall, {"low": 0.01, "high": 0.99}, keys=["feature"])
     is_binary = F.col("feature").isin(binary) if binary else F.lit(False)
     limits = limits.select(
@@ -303,34 +338,35 @@ def class_histograms(
     place = F.when(F.col("is_binary"), bin_index(value, low, high, 2)).otherwise(
         bin_index(value, low, high, bins)
     )
+    # At most ``bins`` cells and one for values outside per feature.
+    cell = F.struct("bin", F.struct("c0", "c1").alias("c"))
     filled = (
-        by_class.join(F.broadcast(limits), "feature")
-        .withColumn("bin", place)
-        .filter("bin IS NOT NULL")
-        .groupBy("feature", "bin")
+        by_class.join(F.broadcast(limits), "feature", "left")
+        .groupBy("feature", F.when(prefix.present("value"), place).alias("bin"))
         .agg(
             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c0"),
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("c1"),
         )
+        .groupBy("feature")
+        .agg(
+            F.sum("c0").alias("s0"), F.sum("c1").alias("s1"),
+            F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), cell))).alias("cells"),
+        )
     )
-    sizes = df.agg(
-        F.struct(
-            F.count_if(_is(label, 0)).alias("n0"), F.count_if(_is(label, 1)).alias("n1")
-        ).alias("s")
-    ).scalar()
     last = F.when(F.col("is_binary"), 1).otherwise(bins - 1)
-    grid = limits.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    grid = limits.join(F.broadcast(filled), "feature").withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
     count_bins = F.when(F.col("is_binary"), edge(F.col("bin"), low, high, 2)).otherwise(
         edge(F.col("bin"), low, high, bins)
     )
+    here = F.try_element_at("cells", F.col("bin"))
 
-    def share(count: str, size: Column) -> Column:
-        part = F.coalesce(F.col(count), F.lit(0)) * 100.0
-        return F.round(F.try_divide(part, size), 4)
+    def share(count: str, size: str) -> Column:
+        part = F.coalesce(here[count], F.lit(0)) * 100.0
+        return F.round(F.try_divide(part, F.col(size)), 4)
 
-    return grid.join(F.broadcast(filled), ["feature", "bin"], "left").select(
+    return grid.select(
         "feature", "bin", F.round(count_bins, 6).alias("left_edge"),
-        share("c0", sizes["n0"]).alias("non_toxic"), share("c1", sizes["n1"]).alias("toxic"),
+        share("c0", "s0").alias("non_toxic"), share("c1", "s1").alias("toxic"),
         "is_binary",
     )
 

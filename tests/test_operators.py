@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from modlake.operators import explain as X
 from modlake.operators import learn as L
 from modlake.operators import metrics as E
 from modlake.operators import prefix
+from modlake.operators import profile as P
 from modlake.operators.columns import correlation_matrix
 from modlake.operators.linear import LinearModel
 
@@ -28,6 +31,47 @@ def test_running_totals_over_chunks(spark):
     assert hot == list(range(1, len(hot) + 1))
 
 
+@pytest.mark.parametrize("chunks", [2, 5, 40])
+def test_chunk_count_changes_no_quantile(spark, chunks):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(k, float(v)) for k in "ab" for v in rng.exponential(size=700)], "k string, value double")
+    counts = prefix.value_counts(df, ["k"], "value")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(chunks))
+    try:
+        assert prefix.with_chunks(counts, "value", keys=["k"]).select("_chunk").distinct().count() <= chunks
+        got = {r["k"]: r["q"] for r in prefix.exact_quantiles(counts, {"q": 0.37}, keys=["k"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for k in "ab":
+        own = [r["value"] for r in df.filter(F.col("k") == k).collect()]
+        assert got[k] == pytest.approx(np.quantile(own, 0.37))
+
+
+@pytest.mark.parametrize("work", [
+    lambda df: E.score_histogram(df), lambda df: E.calibration(df), lambda df: E.roc_curve(df),
+    lambda df: E.ranking_metrics(df), lambda df: E.f1_threshold(df),
+])
+def test_order_statistics_scan_once(spark, tmp_path, work):
+    spark.range(3000).select(
+        (F.col("id") % 3 == 0).cast("int").alias("y_true"), (F.col("id") % 2).cast("int").alias("y_pred"),
+        F.sqrt("id").alias("x"), (F.col("id") % 997 / 997).alias("y_score"),
+    ).write.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan is final before it runs
+    try:
+        plan = work(spark.read.parquet(f"{tmp_path}/t"))._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+
+
+def test_class_histograms_without_values_inside(spark):
+    df = spark.createDataFrame([(0, 0.0, None), (1, 100.0, None), (1, None, None)], "y int, v double, w double")
+    rows = P.class_histograms(df, "y", ["v", "w"], bins=4).collect()
+    assert [(r["feature"], r["non_toxic"], r["toxic"]) for r in rows] == [("v", 0.0, 0.0)] * 4
+
+
 def scores(spark, y, s, p=None):
     rows = [(i, a, int((b or 0) >= 0.5) if p is None else p[i], b) for i, (a, b) in enumerate(zip(y, s))]
     return spark.createDataFrame(rows, "id int, y_true int, y_pred int, y_score double")
@@ -128,3 +172,13 @@ def test_soft_vote_ties_go_to_zero(spark):
     assert got == {1: 0, 2: 1}
     with pytest.raises(ValueError):
         L.soft_vote([], "id")
+
+
+def test_types_come_from_the_values(spark):
+    rows = [("1", "1.5", "true", "x", None, 1, 2.0, "1"), ("-2", "1e3", "False", "7", "", None, None, "true"),
+            ("+3", " .5", "true", "", None, 3, 1.0, "2")]
+    df = spark.createDataFrame(rows, "`a.b` string, c string, d string, e string, f string, g int, h double, i string")
+    got = {r["dtype"]: r["columns"] for r in P.dtype_counts(df).collect()}
+    # f is missing throughout, g is whole numbers with one missing, i mixes a number and a boolean
+    assert got == {"int64": 1, "float64": 4, "bool": 1, "object": 2}
+    assert {r["dtype"]: r["columns"] for r in P.dtype_counts(df.limit(0)).collect()} == {"object": 8}
