@@ -10,7 +10,7 @@ bound would fall under ``least`` shared q-grams.
 The benchmark is the query set: its items are searched in all texts, in blocks of
 bounded size, so that each broadcast index stays under ``block_bytes`` of item text.  Items with fewer
 than q folded bytes have no q-gram and match nothing; null texts are empty; null item
-texts are left out.  Rows that repeat a doc_id each give their matches.  There is no shuffle of texts.
+texts are left out; items without an id match with a null item_id.  Rows that repeat a doc_id each give their matches.  There is no shuffle of texts.
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def hashed(grams: np.ndarray, bits: int) -> np.ndarray:
     return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def index_of(items: list[tuple[int, str]], q: int = Q, budget: float = BUDGET, least: int = LEAST) -> dict:
+def index_of(items: list[tuple[int | None, str]], q: int = Q, budget: float = BUDGET, least: int = LEAST) -> dict:
     """Sorted q-grams of the items with their places, and each item's edit budget and bound."""
     fold, texts, ids = fold_table(), [], []
     for item_id, text in items:
@@ -98,11 +98,10 @@ def index_of(items: list[tuple[int, str]], q: int = Q, budget: float = BUDGET, l
     bits = int(np.clip(np.ceil(np.log2(max(len(unique), 1))) + 6, 16, 26))
     seen = np.zeros(1 << bits, bool)
     seen[hashed(unique, bits)] = True
-    wide = np.zeros((len(texts), int(size.max(initial=0))), np.uint8)
-    for n, t in enumerate(texts):
-        wide[n, : len(t)] = t
     return {
-        "ids": np.array(ids, np.int64), "size": size, "k": k, "bound": bound, "text": wide, "q": q, "bits": bits, "seen": seen,
+        "ids": np.array([i or 0 for i in ids], np.int64), "unnamed": np.array([i is None for i in ids], bool),
+        "size": size, "k": k, "bound": bound, "q": q, "bits": bits, "seen": seen,
+        "text": np.concatenate(texts) if texts else np.zeros(0, np.uint8), "begin": np.cumsum(size) - size,
         "key": unique, "first": np.append(first, len(order)), "item": item[order], "place": place[order],
     }
 
@@ -158,7 +157,9 @@ def align(text: np.ndarray, begins: np.ndarray, row: np.ndarray, item: np.ndarra
         place = start[:, None] + (offset + i)[:, None] + np.arange(width)[None, :]
         fits = (place >= start[:, None]) & (place < stop[:, None])
         letters = padded[np.where(fits, place, len(text))]
-        change = np.where((letters == index["text"][item, i][:, None]) & fits, 0, STEP)
+        # Past an item's end the letter is another item's; its result is taken by then.
+        own = index["text"][np.minimum(index["begin"][item] + i, len(index["text"]) - 1)]
+        change = np.where((letters == own[:, None]) & fits, 0, STEP)
         over = np.concatenate([cell[:, 1:], np.full((len(row), 1), huge)], axis=1) + STEP
         fresh = np.where(inside, np.minimum(cell + change, over), huge)
         cell = np.minimum.accumulate(fresh - steps, axis=1) + steps
@@ -177,6 +178,8 @@ def matches(part: pa.RecordBatch, column: str, index: dict, fold: np.ndarray):
     row, item, low = candidates(text, begins, index)
     if not len(row):
         return (np.zeros(0, np.int64),) * 5
+    by_size = np.argsort(index["size"][item], kind="stable")  # so that a long item delays few others
+    row, item, low = row[by_size], item[by_size], low[by_size]
     distance, start, end = (np.concatenate(x) for x in zip(*(
         align(text, begins, row[a : a + 512], item[a : a + 512], low[a : a + 512], index) for a in range(0, len(row), 512)
     ), strict=True))
@@ -195,14 +198,14 @@ def matches(part: pa.RecordBatch, column: str, index: dict, fold: np.ndarray):
     return row, item, points[first_byte] - origin, points[last_byte] - origin, distance[pick]
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``block_bytes`` of text each."""
     items = benchmark.selectExpr("cast(item_id as bigint) as item_id", "cast(text as string) as text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // block_bytes) + 1
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        yield sorted((r.item_id if r.item_id is not None else -1, r.text) for r in rows)
+        yield sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, **how) -> DataFrame:
@@ -218,8 +221,8 @@ def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
                     row, item, start, end, d = matches(part, "text", index, fold)
                     if len(row):
                         yield pa.RecordBatch.from_arrays(
-                            [part.column(0).take(pa.array(row)), pa.array(index["ids"][item]), pa.array(start), pa.array(end),
-                             pa.array(d), pa.array(1 - d / index["size"][item])],
+                            [part.column(0).take(pa.array(row)), pa.array(index["ids"][item], mask=index["unnamed"][item]),
+                             pa.array(start), pa.array(end), pa.array(d), pa.array(1 - d / index["size"][item])],
                             names=["doc_id", "item_id", "start", "end", "distance", "similarity"],
                         )
 

@@ -403,6 +403,18 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.search(docs, bench.limit(0)).count() == 0 and decontaminate.clean(empty, bench).count() == 0
 
 
+def test_decontamination_of_unnamed_and_very_long_items(spark):
+    long, short = prose(80, 2500), [prose(81 + i, 12) for i in range(300)]
+    index = decontaminate.index_of([(None, long), (-1, short[0]), *enumerate(short[1:])])
+    assert sum(v.nbytes for k, v in index.items() if k == "text") < 60_000  # as long as the items, not items x longest
+    words = long.split()
+    typo = " ".join("zzz" if i % 400 == 7 else w for i, w in enumerate(words))
+    frame = spark.createDataFrame([(1, "a " + typo), (2, short[0] + " b"), (3, prose(500, 300))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, long), (-1, short[0])], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.search(frame, bench).collect()), key=str)
+    assert got == [(1, None), (2, -1)]
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
