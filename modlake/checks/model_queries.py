@@ -484,21 +484,16 @@ def top_features(spark, sf_dir):
     return rounded(rounded(df, 6, "value"), 4, "pct_of_max")
 
 
-def _scorer(df):
-    return df.withColumn("y_score", I.MODEL.probability())
-
-
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
     df = _written(_judged(spark, sf_dir).select("doc_id", "y_true", *MODEL_FEATURES), "judged")
-    return rounded(
-        X.permutation_importance(df, _scorer, MODEL_FEATURES, "doc_id"), 6, "importance", "std",
-    )
+    out = X.block_permutation_importance(df, I.MODEL.matrix_probability, MODEL_FEATURES, "doc_id")
+    return rounded(out.drop("error"), 6, "importance", "std")
 
 
 @query("kernel_attribution")
 def kernel_attribution(spark, sf_dir):
     # Every labelled row is explained, against the method's bounded background.
     df = _training(spark, sf_dir)
-    out = X.kernel_attribution(df, df, _scorer, MODEL_FEATURES, "doc_id")
+    out = X.batch_attribution(df, df, I.MODEL.matrix_probability, MODEL_FEATURES, "doc_id")
     return rounded(out, 6, "value", "attribution")

@@ -6,13 +6,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modlake.operators.metrics import ranking_metrics
 from modlake.operators.prefix import running_totals
 
+#: Adds ``y_score`` to a table with the feature columns.
 Scorer = Callable[[DataFrame], DataFrame]
+#: Scores of a matrix with one row per case and one column per feature.
+MatrixScorer = Callable[[np.ndarray], np.ndarray]
 
 
 def coefficient_ranking(coefficients: DataFrame, top: int | None = None) -> DataFrame:
@@ -145,6 +149,99 @@ def permutation_importance(
     )
 
 
+def _one_block_at_a_time(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Rows of one ``_block`` after the other from rows sorted by it, at most ``most`` at once."""
+    held, size = [], 0
+    for batch in batches:
+        edges = np.flatnonzero(np.diff(batch["_block"].to_numpy())) + 1
+        for part in np.split(np.arange(len(batch)), edges):
+            rows = batch.iloc[part]
+            if held and len(rows) and held[0]["_block"].iloc[0] != rows["_block"].iloc[0]:
+                yield pd.concat(held)
+                held, size = [], 0
+            while size + len(rows) >= most:
+                yield pd.concat([*held, rows.iloc[: most - size]])
+                rows, held, size = rows.iloc[most - size :], [], 0
+            if len(rows):
+                held.append(rows)
+                size += len(rows)
+    if held:
+        yield pd.concat(held)
+
+
+def block_order(seed: int, repeat: int, block: int, size: int) -> np.ndarray:
+    """The permutation of one repeat inside one block."""
+    return np.random.default_rng([seed, repeat, block]).permutation(size)
+
+
+def block_permutation_importance(
+    df: DataFrame, score: MatrixScorer, features: list[str], key: str,
+    *, repeats: int = 10, seed: int = 42, block: int = 1 << 14, bins: int = 1 << 14,
+) -> DataFrame:
+    """Mean and deviation of the ROC AUC lost when one feature is shuffled, in one shuffle of the rows.
+
+    Rows are dealt by a hash of the key into blocks of about ``block`` rows, which are random
+    subsets; a repeat permutes a feature inside each block.  A task scores every variant of its
+    blocks as matrices and keeps, per variant, counts of positives and negatives in ``bins`` equal
+    ranges of the score (0 to 1), so what leaves a task does not grow with its rows.
+
+    ``error`` bounds what ties inside a range can change in any of the feature's differences.
+    Rows without label or score count nowhere; with one class only all values are null.
+    """
+    blocks = max(1, df.count() // block)
+    dealt = df.select(
+        F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(blocks)).cast("int").alias("_block"),
+        F.xxhash64(F.col(key), F.lit(seed + 1)).alias("_order"), F.col(key).alias("_key"),
+        F.col("y_true").cast("int").alias("_true"), *[F.col(f).cast("double").alias(f) for f in features],
+    )
+    ordered = dealt.repartition("_block").sortWithinPartitions("_block", "_order", "_key", "_true", *features).drop("_key")
+
+    def counted(y: np.ndarray, s: np.ndarray) -> np.ndarray:
+        known = np.isfinite(s) & np.isfinite(y)
+        at = np.clip((s[known] * bins).astype(np.int64), 0, bins - 1)
+        return np.bincount(at + bins * (y[known] > 0), minlength=2 * bins)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros((1 + repeats * len(features), 2 * bins), np.int64)
+        for rows in _one_block_at_a_time(batches, 4 * block):
+            x = rows[features].to_numpy(dtype=float, na_value=np.nan)
+            y = rows["_true"].to_numpy(dtype=float, na_value=np.nan)
+            counts[0] += counted(y, score(x))
+            for repeat in range(repeats):
+                order = block_order(seed, repeat, int(rows["_block"].iloc[0]), len(rows))
+                for f in range(len(features)):
+                    own = x[:, f].copy()
+                    x[:, f] = own[order]
+                    counts[1 + repeat * len(features) + f] += counted(y, score(x))
+                    x[:, f] = own
+        for variant, found in enumerate(counts):
+            negative, positive = found[:bins], found[bins:]
+            at = np.flatnonzero(negative + positive)
+            yield pd.DataFrame({"variant": variant, "bin": at, "neg": negative[at], "pos": positive[at]})
+
+    parts = ordered.mapInPandas(work, "variant int, bin int, neg bigint, pos bigint")
+    sums = parts.groupBy("variant", "bin").agg(F.sum("neg").cast("double").alias("neg"), F.sum("pos").cast("double").alias("pos"))
+    below = F.sum("neg").over(Window.partitionBy("variant").orderBy("bin")) - F.col("neg")  # at most ``bins`` rows
+    pairs = F.sum("pos") * F.sum("neg")
+    curves = sums.withColumn("below", below).groupBy("variant").agg(
+        F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)), pairs).alias("auc"),
+        F.try_divide(F.sum(F.col("pos") * F.col("neg")) / 2, pairs).alias("tied"),
+    )
+    # One row with one entry per variant.
+    together = curves.agg(
+        F.max(F.when(F.col("variant") == 0, F.struct("auc", "tied"))).alias("base"),
+        F.collect_list(F.struct("variant", "auc", "tied")).alias("all"),
+    )
+    names = F.array(*[F.lit(f) for f in features])
+    drops = together.select("base", F.inline("all")).filter("variant > 0").select(
+        F.get(names, F.pmod(F.col("variant") - 1, F.lit(len(features)))).alias("feature"),
+        (F.col("base.auc") - F.col("auc")).alias("_drop"), (F.col("base.tied") + F.col("tied")).alias("_tied"),
+    )
+    return drops.groupBy("feature").agg(
+        F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("std"), F.max("_tied").alias("error")
+    )
+
+
 # --- attribution of any model -----------------------------------------------
 
 def coalitions(width: int, samples: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +269,55 @@ def coalitions(width: int, samples: int, seed: int = 42) -> tuple[np.ndarray, np
     return masks, np.ones(len(masks))
 
 
+def _reference(background: DataFrame, features: list[str], key: str, size: int, seed: int) -> list[list[float]]:
+    """A fixed, small number of reference rows."""
+    rows = hashed_sample(background.select(key, *features), key, size, seed).collect()
+    return [[float(r[f]) for f in features] for r in rows]
+
+
+def batch_attribution(
+    rows: DataFrame, background: DataFrame, score: MatrixScorer, features: list[str], key: str,
+    *, background_size: int = 30, samples: int = 100, seed: int = 42, at_once: int = 1 << 16,
+) -> DataFrame:
+    """``kernel_attribution`` of a matrix scorer in one narrow pass: nothing is shuffled or exploded.
+
+    Each batch is scored per feature subset against all reference rows, ``at_once`` cases at a
+    time.  Rows with a missing feature get null attributions; every input row gives one row per feature.
+    """
+    width = len(features)
+    masks, weights = coalitions(width, samples, seed)
+    reference = np.array(_reference(background, features, key, background_size, seed)).reshape(-1, width)
+    subsets = np.vstack([np.ones(width, int), np.zeros(width, int), masks]).astype(bool)
+    design, solve = _solver(masks, weights)
+    step = max(1, at_once // max(1, len(reference)))
+
+    def explained(x: np.ndarray) -> np.ndarray:
+        ys = np.empty((len(x), len(subsets)))
+        for j, own in enumerate(subsets):
+            mixed = np.where(own, x[:, None, :], reference[None, :, :]).reshape(-1, width)
+            ys[:, j] = score(mixed).reshape(len(x), -1).mean(axis=1)
+        return solve(design, ys)
+
+    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a in range(0, len(batch), step):
+                part = batch.iloc[a : a + step]
+                x = part[[f"_{i}" for i in range(width)]].to_numpy(dtype=float, na_value=np.nan)
+                phi = explained(x)
+                phi[np.isnan(x).any(axis=1)] = np.nan
+                yield pd.DataFrame({
+                    key: part["_key"].repeat(width).to_numpy(), "feature": np.tile(np.array(features, dtype=object), len(part)),
+                    "value": x.ravel(), "attribution": phi.ravel(),
+                })
+
+    asked = rows.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f"_{i}") for i, f in enumerate(features)])
+    schema = T.StructType([
+        T.StructField(key, rows.schema[key].dataType), T.StructField("feature", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("attribution", T.DoubleType()),
+    ])
+    return asked.mapInPandas(attribute, schema).withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in ("value", "attribution")})
+
+
 def kernel_attribution(
     rows: DataFrame, background: DataFrame, scorer: Scorer, features: list[str], key: str,
     *, background_size: int = 30, samples: int = 100, seed: int = 42,
@@ -184,11 +330,7 @@ def kernel_attribution(
     """
     width = len(features)
     masks, weights = coalitions(width, samples, seed)
-    # A fixed, small number of reference rows.
-    reference = [
-        [float(r[f]) for f in features]
-        for r in hashed_sample(background.select(key, *features), key, background_size, seed).collect()
-    ]
+    reference = _reference(background, features, key, background_size, seed)
     subset_rows = F.array(*[
         F.struct(F.lit(i).alias("subset"), F.array(*[F.lit(bool(b)) for b in mask]).alias("mask"))
         for i, mask in enumerate([np.ones(width), np.zeros(width), *masks])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,11 @@ class LinearModel:
     def probability(self) -> Column:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.logit()))
 
+    def matrix_probability(self, x: np.ndarray) -> np.ndarray:
+        """Probabilities of a matrix whose columns are the features in the model's order."""
+        mean, std, coef = (np.array(v, float) for v in zip(*self.terms.values(), strict=True))
+        return 1.0 / (1.0 + np.exp(-(self.intercept + ((x - mean) / std) @ coef)))
+
     def label(self) -> Column:
         return (self.probability() >= self.threshold).cast("int")
 

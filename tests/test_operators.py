@@ -160,6 +160,70 @@ def test_shapley_values_of_an_additive_model(spark):
         assert r["attribution"] == pytest.approx(coef[r["feature"]] * (r["value"] - means[r["feature"]]), abs=1e-6)
 
 
+def test_attribution_by_batches(spark):
+    model = LinearModel(0.3, {"a": (0.5, 2.0, 2.0), "b": (0.0, 1.0, -1.0), "c": (0.0, 1.0, 0.5)})
+    df, _, _ = logistic_data(spark)
+    rows = df.filter("id < 40").withColumn("c", F.when(F.col("id") != 7, F.col("c")))
+
+    def both(score, columns):
+        new = X.batch_attribution(rows, df.filter("id < 300"), score, list("abc"), "id", background_size=20, at_once=100)
+        old = X.kernel_attribution(
+            rows.na.drop(), df.filter("id < 300"), lambda d: d.withColumn("y_score", columns), list("abc"), "id", background_size=20)
+        assert "Exchange" not in new._jdf.queryExecution().executedPlan().toString()
+        return new.collect(), {(r.id, r.feature): r for r in old.collect()}
+
+    for score, columns in (
+        (model.matrix_probability, model.probability()), (lambda x: x[:, 0] * x[:, 1], F.col("a") * F.col("b")),
+    ):
+        new, old = both(score, columns)
+        assert len(new) == 40 * 3 and len(old) == 39 * 3
+        for r in new:
+            if r.id == 7:
+                assert r.attribution is None and (r.value is None) == (r.feature == "c")
+            else:
+                assert (r.value, r.attribution) == pytest.approx((old[r.id, r.feature].value, old[r.id, r.feature].attribution))
+    none = X.batch_attribution(df.limit(0), df, model.matrix_probability, list("abc"), "id")
+    assert none.count() == 0 and none.columns == ["id", "feature", "value", "attribution"]
+
+
+def plain_auc(y, s):
+    gap = s[y == 1][:, None] - s[y == 0][None, :]
+    return (gap > 0).mean() + (gap == 0).mean() / 2
+
+
+def test_importance_by_blocks_against_brute_force(spark):
+    model = LinearModel(0.1, {"a": (0.0, 1.0, 2.0), "b": (0.0, 1.0, -1.0), "c": (0.0, 1.0, 0.0)})
+    df, x, y = logistic_data(spark)
+    df = df.withColumn("y_true", F.col("toxic"))
+    size, blocks = 64, 400 // 64
+    order = df.select(
+        "id", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).alias("block"), F.xxhash64("id", F.lit(6)).alias("at")
+    ).orderBy("block", "at").collect()
+    base = plain_auc(y, model.matrix_probability(x))
+    want = {}
+    for f in range(3):
+        drops = []
+        for repeat in range(4):
+            moved = x.copy()
+            for k in range(blocks):
+                at = np.array([r.id for r in order if r.block == k])
+                moved[at, f] = x[at[X.block_order(5, repeat, k, len(at))], f]
+            drops.append(base - plain_auc(y, model.matrix_probability(moved)))
+        want["abc"[f]] = np.mean(drops), np.std(drops)
+    ask = dict(repeats=4, seed=5, block=size, bins=1 << 14)
+    got = {r.feature: r for r in X.block_permutation_importance(
+        df, model.matrix_probability, list("abc"), "id", **ask).collect()}
+    for f, (mean, std) in want.items():
+        assert abs(got[f].importance - mean) <= got[f].error + 1e-12 and got[f].error < 1e-3
+        assert got[f]["std"] == pytest.approx(std, abs=2e-3)
+    unlabelled = df.withColumn("y_true", F.when(F.col("id") >= 100, F.col("y_true")))
+    assert X.block_permutation_importance(unlabelled, model.matrix_probability, list("abc"), "id", **ask).count() == 3
+    assert got["c"].importance == 0 and got["a"].importance > got["b"].importance > 0
+    one = X.block_permutation_importance(df.withColumn("y_true", F.lit(1)), model.matrix_probability, list("abc"), "id", **ask)
+    assert [r.importance for r in one.collect()] == [None] * 3
+    assert X.block_permutation_importance(df.limit(0), model.matrix_probability, list("abc"), "id", **ask).filter("importance is not null").count() == 0
+
+
 def test_dense_index_is_a_permutation(spark):
     out = X.dense_index(spark.range(777), "id", chunks=16)
     assert sorted(r["_idx"] for r in out.collect()) == list(range(777))
