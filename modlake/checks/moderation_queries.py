@@ -12,6 +12,9 @@ from modlake.functions import text as X
 from modlake.functions import urls as U
 from modlake.functions.signature import MONTHS, signature_timestamp
 from modlake.plans import moderation as M
+from modlake.session import scratch_folder
+from modlake.sources import commits
+from modlake.sources.stored_json import INFERENCE_STATS, TOP_FEATURES, TREND
 
 # --- scalar rules -----------------------------------------------------------
 
@@ -333,6 +336,36 @@ def threshold_reevaluation_counts(spark, sf_dir):
     return M.reevaluated_counts(_reevaluated(spark, sf_dir))
 
 
+def _committed(spark, sf_dir):
+    """A store of two commits: all articles, then new thresholds for the even ones."""
+    folder = scratch_folder(spark, "commits")
+    store = I.scored(spark, sf_dir).select(
+        "id", "article_id", "toxicity", "is_flagged",
+        F.when(F.col("doc_id") % 11 == 0, "manual-ban").otherwise(F.col("decision")).alias("decision"),
+    )
+    heads = articles(spark, sf_dir).withColumn("flagged_count", F.lit(-1).cast("bigint"))
+    commits.write(heads, store, folder, 0)
+    even = heads.filter(F.substring("id", -1, 1).isin("0", "2", "4", "6", "8"))
+    commits.reevaluate(spark, folder, even.select(
+        F.col("id").alias("article_id"), F.lit(0.6).alias("auto_threshold"), F.lit(0.3).alias("manual_threshold")), 1)
+    return commits.read(spark, folder)
+
+
+@query("committed_comments", f"{Q.SCORED}, {_BANNED} SELECT * FROM again")
+def committed_comments(spark, sf_dir):
+    return _committed(spark, sf_dir)[1].select("id", "article_id", "toxicity", "decision", "is_flagged")
+
+
+@query("committed_articles", f"""{Q.SCORED}, {_BANNED}, {ARTICLES}
+SELECT a.id, a.title, CASE WHEN changed THEN 0.6::DOUBLE ELSE auto_threshold END AS auto_threshold,
+  CASE WHEN changed THEN 0.3::DOUBLE ELSE manual_threshold END AS manual_threshold,
+  CASE WHEN changed THEN (SELECT count(*) FROM again g WHERE g.article_id = a.id
+    AND (g.is_flagged OR g.decision = 'manual-ban')) ELSE -1 END AS flagged_count
+FROM (SELECT *, right(id, 1) IN ('0','2','4','6','8') AS changed FROM articles) a""")
+def committed_articles(spark, sf_dir):
+    return _committed(spark, sf_dir)[0].select("id", "title", "auto_threshold", "manual_threshold", "flagged_count")
+
+
 @query("decision_override", f"""{Q.SCORED}
 SELECT id, is_flagged, CASE WHEN l.quality = 0 THEN 'manual-ban' ELSE decision END AS decision
 FROM scored s LEFT JOIN labels l ON l.doc_id = s.doc_id""")
@@ -361,6 +394,86 @@ def stale_explanations(spark, sf_dir):
     return M.stale_explanations(df, "v1").select("id")
 
 
+# Stored JSON texts, whole and damaged in eight ways by document number.
+_TOP_SQL = """CASE doc_id % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '[{"feature":"char_count","va'
+  WHEN 3 THEN '{"feature":"char_count"}' WHEN 4 THEN '[{"feature":"char_count","shap":0.5}, null, 7]'
+  WHEN 5 THEN '[{"feature":"char_count","value":"many","shap":0.25}] x'
+  WHEN 6 THEN '[{"feature":"char_count","value":"many","shap":0.25,"more":[1]}]'
+  ELSE '[{"feature":"char_count","value":' || length(text) || ',"shap":0.5},{"feature":"word_count","value":1,"shap":-0.5}]' END"""
+
+
+def _stored(spark, sf_dir, *more):
+    return I.scored(spark, sf_dir).select("id", "doc_id", "text", *more, F.expr(_TOP_SQL).alias("top_features_json"))
+
+
+@query("stored_top_features", f"""{Q.SCORED}
+SELECT id, doc_id % 8 IN (2, 3, 5) AS unreadable,
+  CASE doc_id % 8 WHEN 4 THEN 1 WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS features,
+  CASE WHEN doc_id % 8 IN (4, 6, 7) THEN 'char_count' END AS feature,
+  CASE WHEN doc_id % 8 = 7 THEN length(text)::DOUBLE END AS value,
+  CASE doc_id % 8 WHEN 4 THEN 0.5::DOUBLE WHEN 6 THEN 0.25 WHEN 7 THEN 0.5 END AS shap FROM scored""")
+def stored_top_features(spark, sf_dir):
+    text = F.col("top_features_json")
+    df = _stored(spark, sf_dir).withColumns({"top": TOP_FEATURES.decode(text), "unreadable": TOP_FEATURES.unreadable(text)})
+    first = F.get("top", F.lit(0))
+    return df.select("id", "unreadable", F.size("top").alias("features"), *[first[c].alias(c) for c in ("feature", "value", "shap")])
+
+
+# The stored columns of an article as JSON text, damaged for some articles by the last character of the id.
+_ARTICLE_SQL = {
+    "trend": """CASE right(article_id, 1) WHEN '0' THEN NULL WHEN '1' THEN '{"dates":["' WHEN '2' THEN '[]'
+      WHEN '3' THEN '{"dates":"2024-01-01","scores":[0.5],"threshold":0.55}'
+      ELSE '{"dates":["' || min(left(timestamp, 10)) || '","' || max(left(timestamp, 10)) || '"],"scores":[0.25,' ||
+        count(*) || '],"threshold":0.55,"more":{}}' END""",
+    "stats": """CASE right(article_id, 1) WHEN '0' THEN '' WHEN '1' THEN '{"count":' || count(*) || '}'
+      WHEN '2' THEN '{"count":"some","avg_ms":1.5}' ELSE '{"count":' || count(*) || ',"total_ms":7,"avg_ms":0.5,"min_ms":0.25,"max_ms":' || count(*) || '}' END""",
+}
+
+
+@query("stored_article_columns", f"""{Q.SCORED}, heads AS (SELECT article_id, right(article_id, 1) AS k, count(*) AS n,
+  min(left(timestamp, 10)) AS a, max(left(timestamp, 10)) AS b FROM scored GROUP BY article_id)
+SELECT article_id, k IN ('1', '2') AS bad_trend, CASE WHEN k IN ('0', '1', '2', '3') THEN 0 ELSE 2 END AS dates,
+  CASE WHEN k NOT IN ('0', '1', '2', '3') THEN a END AS first_date, CASE WHEN k NOT IN ('0', '1', '2', '3') THEN b END AS last_date,
+  CASE WHEN k IN ('0', '1', '2') THEN NULL WHEN k = '3' THEN 0.5 ELSE n END::DOUBLE AS last_score,
+  CASE WHEN k NOT IN ('0', '1', '2') THEN 0.55::DOUBLE END AS threshold,
+  CASE WHEN k IN ('0', '2') THEN 0 ELSE n END AS inference_count,
+  CASE WHEN k = '2' THEN 1.5 WHEN k IN ('0', '1') THEN 0 ELSE 0.5 END::DOUBLE AS avg_ms,
+  CASE WHEN k IN ('0', '1', '2') THEN 0 ELSE n END::DOUBLE AS max_ms FROM heads""")
+def stored_article_columns(spark, sf_dir):
+    texts = I.scored(spark, sf_dir).groupBy("article_id").agg(*[F.expr(sql).alias(name) for name, sql in _ARTICLE_SQL.items()])
+    df = texts.select(
+        "article_id", TREND.unreadable(F.col("trend")).alias("bad_trend"),
+        TREND.decode(F.col("trend")).alias("trend"), INFERENCE_STATS.decode(F.col("stats")).alias("stats"),
+    )
+    return df.select(
+        "article_id", "bad_trend", F.size("trend.dates").alias("dates"), F.get("trend.dates", F.lit(0)).alias("first_date"),
+        F.get("trend.dates", F.lit(1)).alias("last_date"), F.try_element_at("trend.scores", F.lit(-1)).alias("last_score"),
+        "trend.threshold", F.col("stats.count").alias("inference_count"), "stats.avg_ms", "stats.max_ms",
+    )
+
+
+@query("explanation_write_back", f"""{Q.SCORED}
+SELECT id, CASE WHEN doc_id % 8 IN (4, 6, 7) AND doc_id % 3 > 0 THEN 'v1' WHEN doc_id % 5 > 0 THEN 'v1'
+    WHEN doc_id % 3 = 0 THEN 'v0' ELSE 'v1' END AS explain_version,
+  CASE WHEN doc_id % 8 IN (4, 6, 7) AND doc_id % 3 > 0
+         THEN CASE doc_id % 8 WHEN 4 THEN '[{{"feature":"char_count","shap":0.5}}]' WHEN 6 THEN '[{{"feature":"char_count","shap":0.25}}]'
+           ELSE '[{{"feature":"char_count","value":' || length(text) || '.0,"shap":0.5}},{{"feature":"word_count","value":1.0,"shap":-0.5}}]' END
+       WHEN doc_id % 5 > 0 THEN '[{{"feature":"exclamation_count","value":' || doc_id % 9 || '.0,"shap":0.125}}]'
+       ELSE CASE doc_id % 8 WHEN 4 THEN '[{{"feature":"char_count","shap":0.5}}]' WHEN 6 THEN '[{{"feature":"char_count","shap":0.25}}]'
+           WHEN 7 THEN '[{{"feature":"char_count","value":' || length(text) || '.0,"shap":0.5}},{{"feature":"word_count","value":1.0,"shap":-0.5}}]'
+           ELSE '[]' END END AS top_features_json FROM scored""")
+def explanation_write_back(spark, sf_dir):
+    # Decode, pick the stale rows, explain them (every fifth gets nothing), write back as text.
+    version = F.when(F.col("doc_id") % 3 == 0, "v0").otherwise("v1")
+    df = _stored(spark, sf_dir).withColumns({
+        "top_features": TOP_FEATURES.decode(F.col("top_features_json")), "explain_version": version})
+    fresh = F.concat(F.lit('[{"feature":"exclamation_count","value":'), (F.col("doc_id") % 9).cast("string"), F.lit(',"shap":0.125}]'))
+    explained = M.stale_explanations(df, "v1").select(
+        "id", TOP_FEATURES.decode(F.when(F.col("doc_id") % 5 > 0, fresh)).alias("top_features"))
+    out = M.with_explanations(df.select("id", "top_features", "explain_version"), explained, "v1")
+    return out.select("id", "explain_version", TOP_FEATURES.encode(F.col("top_features")).alias("top_features_json"))
+
+
 _PAIRS = [(0.3, 0.6), (0.55, 0.75), (0.8, 0.4)]
 
 

@@ -219,6 +219,21 @@ def reevaluated_counts(comments: DataFrame) -> DataFrame:
     return comments.groupBy("article_id").agg(F.count_if(counted).alias("flagged_count"))
 
 
+def with_thresholds(articles: DataFrame, thresholds: DataFrame, order: str | None = None) -> DataFrame:
+    """The article rows that ``thresholds`` names, with their new thresholds."""
+    known = ["article_id", "auto_threshold", "manual_threshold"] + ([order] if order else [])
+    new = _one_per_key(thresholds.select(*known), "article_id", order).withColumnRenamed("article_id", "id")
+    rest = articles.drop("auto_threshold", "manual_threshold")
+    return rest.join(new.select("id", "auto_threshold", "manual_threshold"), "id")
+
+
+def with_flagged_counts(articles: DataFrame, comments: DataFrame) -> DataFrame:
+    """Article rows with the flagged comments among ``comments``; 0 where there is none."""
+    counts = reevaluated_counts(comments).select(F.col("article_id").alias("id"), F.col("flagged_count").alias("_flagged"))
+    joined = articles.drop("flagged_count").join(counts, "id", "left")
+    return joined.withColumn("flagged_count", F.coalesce("_flagged", F.lit(0))).drop("_flagged")
+
+
 def override_decisions(comments: DataFrame, overrides: DataFrame, order: str | None = None) -> DataFrame:
     """Moderator decisions ``(id, decision)``; the flag stays as it was.
 

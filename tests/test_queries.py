@@ -22,6 +22,7 @@ CHOSEN = (
     "eda_class_means", "eda_class_histograms_lines", "eda_top_features_lines", "roc_auc_lines",
     "calibration_lines", "talk_comments", "toxicity_trend", "article_upsert", "ingest_results",
     "threshold_reevaluation", "top_features", "model_comparison", "stream_scored",
+    "committed_articles", "stored_top_features", "stored_article_columns", "explanation_write_back",
 )
 NAMES = sorted(entry_module.oracle_sql()) if os.environ.get("MODLAKE_ALL") else CHOSEN
 

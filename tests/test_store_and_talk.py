@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from modlake.functions import moderation as rules
 from modlake.plans import moderation as M
 from modlake.plans import talk
-from modlake.sources import export, labelled, mediawiki, store
+from modlake.sources import commits, export, labelled, mediawiki, store
+from modlake.sources import stored_json as J
 
 
 def parse(spark, text):
@@ -152,3 +153,63 @@ def test_repeated_changes_do_not_multiply_rows(spark):
     assert M.override_decisions(rows, same).filter("decision = 'ban'").count() == 1
     with pytest.raises(Exception, match="several changes for id"):
         M.override_decisions(rows, twice).collect()
+
+
+def test_json_columns(spark):
+    none = []
+    cases = [
+        (None, none, False), ("", none, False), (" ", none, False), ("{", none, True), ("[]", none, False), ("{}", none, True),
+        ('[{"feature":"a","value":1,"shap":0.5}]', [("a", 1.0, 0.5)], False), ("null", none, True), ("[],[]", none, True),
+        ('[{"feature":"a","value":"x"},null,3]', [("a", None, None)], False), ('[{"feature":"a"}] x', none, True),
+        ('[{"value":2}]', [("", 2.0, None)], False),
+    ]
+    df = spark.createDataFrame([(n, c[0]) for n, c in enumerate(cases)], "n int, t string")
+    decoded = df.select("n", J.TOP_FEATURES.decode(F.col("t")).alias("d"), J.TOP_FEATURES.unreadable(F.col("t")).alias("u"))
+    again = decoded.withColumn("again", J.TOP_FEATURES.decode(J.TOP_FEATURES.encode(F.col("d"))))
+    for r in again.collect():
+        assert ([tuple(e) for e in r.d], r.u) == cases[r.n][1:] and r.again == r.d
+    whole = spark.createDataFrame([('{"dates":["a"],"scores":[1,null],"threshold":0.5,"x":1}',), ('{"dates":3} {',), ("7",)], "t string")
+    got = [r[0] for r in whole.select(J.TREND.decode(F.col("t"))).collect()]
+    assert [tuple(r) for r in got] == [(["a"], [1.0, None], 0.5), ([], [], None), ([], [], None)]
+    stats = whole.limit(0).unionByName(spark.createDataFrame([('{"count":2,"avg_ms":"1.5"}',)], "t string"))
+    assert tuple(stats.select(J.INFERENCE_STATS.decode(F.col("t"))).first()[0]) == (2, 0.0, 1.5, 0.0, 0.0)
+
+
+def test_articles_and_comments_change_together(spark, tmp_path):
+    root = str(tmp_path / "commits")
+    heads = spark.createDataFrame(
+        [("x", 0.75, 0.55, 0), ("y", 0.75, 0.55, 1), ("z", 0.75, 0.55, 0)],
+        "id string, auto_threshold double, manual_threshold double, flagged_count bigint")
+    commits.write(heads, comments(spark), root, 0)
+    before = commits.read(spark, root)
+    new = spark.createDataFrame(
+        [("x", 0.8, 0.1), ("z", 0.5, 0.4), ("unknown", 0.5, 0.4)], "article_id string, auto_threshold double, manual_threshold double")
+    commits.reevaluate(spark, root, new, commits.next_number(spark, root))
+
+    def state():
+        articles, rows = commits.read(spark, root)
+        return (
+            {r.id: (r.auto_threshold, r.manual_threshold, r.flagged_count) for r in articles.collect()},
+            {r.id: (r.article_id, r.decision, r.is_flagged) for r in rows.collect()}, articles.count(), rows.count(),
+        )
+
+    want = (
+        {"x": (0.8, 0.1, 2), "y": (0.75, 0.55, 1), "z": (0.5, 0.4, 0)},
+        {"a": ("x", "auto-ban", True), "b": ("x", "manual-ban", False), "c": ("y", "none", True)}, 3, 3,
+    )
+    assert state() == want
+    assert {r.id: r.flagged_count for r in before[0].collect()} == {"x": 0, "y": 1, "z": 0}  # a reader keeps its commits
+    # A writer that dies before its commit row, in either table, is never read.
+    heads.limit(1).write.parquet(f"{root}/articles/commit=7/token=lost")
+    comments(spark).write.parquet(f"{root}/comments/commit=7/token=lost")
+    (tmp_path / "commits" / "commits" / "number=7" / "_temporary").mkdir(parents=True)
+    assert state() == want
+    # An article may lose all its comments.
+    commits.write(heads.filter("id = 'y'"), comments(spark).limit(0), root, 2)
+    want = (want[0], {k: v for k, v in want[1].items() if k != "c"}, 3, 2)
+    assert state() == want
+    commits.compact(spark, root, 3, comments_per_file=1)
+    assert state() == want and commits.next_number(spark, root) == 4
+    with pytest.raises(Exception, match="exist"):
+        commits.write(heads, comments(spark), root, 3)
+    assert state() == want
