@@ -34,14 +34,14 @@ def unescape(text: Column) -> Column:
 
 
 def _escape_role(role: Column) -> Column:
-    """A header is one line: newlines and backslashes of a role are spelled out first."""
-    spelled = F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    """A header is one line: backslashes (``\\b``) and newlines (``\\n``) of a role are spelled out first."""
+    spelled = F.replace(F.replace(role, F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n"))
     return escape(spelled)
 
 
 def _unescape_role(role: Column) -> Column:
-    plain = F.regexp_replace(unescape(role), r"\\\\", "\u0000\u0001")
-    return F.replace(F.replace(plain, F.lit("\\n"), F.lit("\n")), F.lit("\u0000\u0001"), F.lit("\\"))
+    """Every backslash left by ``unescape`` begins a spelled-out character, so newlines can come first."""
+    return F.replace(F.replace(unescape(role), F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\"))
 
 
 def _merged(turns: Column) -> Column:

@@ -258,31 +258,57 @@ def test_bpe_is_exact(spark, docs, empty):
     assert back[8] == dict(TEXTS)[8] and back[4] == ""
 
 
+def paragraphs(t):
+    parts = [p for line in t.split("\n") for p in (re.split(r"(?<=[.!?])[ \t\n\x0b\f\r]+", line) if len(line) > 512 else [line])]
+    return {p.strip(" ") for p in parts} - {""}
+
+
 def test_sketches(spark, docs, empty, tmp_path_factory):
-    got = {r.doc_id: r for r in sketch.compare_with_edits(docs, folder(tmp_path_factory)).collect()}
-    texts = {i: t or "" for i, t in TEXTS if i is not None}
+    r = random.Random(8)
+    more = [(100 + n, "".join(prose(r.randrange(40), 9) + r.choice([". ", ".\n", " "]) for _ in range(r.randrange(400))), "en", "s", 9, "x")
+            for n in range(60)]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    made = sketch.compare_with_edits(docs, folder(tmp_path_factory))
+    got = {r.doc_id: r for r in made.collect()}
+    texts = {i: t or "" for i, t in [*TEXTS, *[m[:2] for m in more]] if i is not None}
     order = sorted(texts, reverse=True)
     for n, i in enumerate(order):
         x, y = texts[i], texts[order[(n + 1) % len(order)]]
         h = len(x) // 2
         e = x[: len(x) - h] + y[:h]
-        lines = [{p for p in t.split("\n") if p.strip(" ")} for t in (x, e, y)]
+        lines = [paragraphs(t) for t in (x, e, y)]
         j = [len(lines[0] & o) / len(lines[0] | o) if lines[0] | o else 1.0 for o in lines[1:]]
         assert got[i].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
-        assert (got[i].near_edited, got[i].near_next) == pytest.approx(j)
+        assert (got[i].near_edited, got[i].near_next) == pytest.approx(j), i
+        assert got[i].n_chars == len(x)
     assert got[1].fingerprint == got[2].fingerprint != got[3].fingerprint
     assert sketch.compare_with_edits(empty, folder(tmp_path_factory)).count() == 0
+    # What a fingerprint text says is the sketch: written again it is the same, and its likeness needs no text.
+    read = made.select("*", sketch.parsed(F.col("fingerprint")).alias("a"), sketch.parsed(F.col("edited_fingerprint")).alias("b"))
+    again = read.select(
+        "doc_id", (sketch.written(F.col("a")) == F.col("fingerprint")).alias("same"), sketch.held(F.col("a")).alias("held"),
+        F.array_size(sketch.difference(F.col("a"), F.col("b"))).alias("d"),
+        (sketch.held(F.col("a")) + sketch.held(F.col("b"))).alias("total"), "near_edited",
+    ).collect()
+    assert all(r.same and r.held == len(paragraphs(texts[r.doc_id])) for r in again)
+    peeled = [r for r in again if r.d is not None and r.total]
+    assert len(peeled) > len(again) // 2
+    for r in peeled:
+        assert r.near_edited == pytest.approx((r.total - r.d) / (r.total + r.d))
 
 
 def test_peeling_recovers_the_difference(spark):
     df = spark.range(1).select(
         F.expr("transform(sequence(1, 300), x -> xxhash64(x))").alias("a"), F.expr("transform(sequence(4, 302), x -> xxhash64(x))").alias("b")
     )
+    of = lambda name, m: sketch.sketch(F.col(name), F.lit(m).cast("bigint"))
     row = df.select(
-        sketch.difference(F.col("a"), F.col("b"), F.lit(64).cast("bigint")).alias("d"),
+        sketch.difference(of("a", 64), of("b", 64)).alias("d"), sketch.difference(of("a", 64), of("b", 16)).alias("smaller"),
+        sketch.difference(of("a", 1), F.transform(of("b", 1), lambda c: sketch._no_cells())).alias("failed"),
+        (sketch.folded(of("a", 64), F.lit(16).cast("bigint")) == of("a", 16)).alias("folds"), sketch.held(of("a", 64)).alias("held"),
         F.expr("transform(array(1, 2, 3, 301, 302), x -> xxhash64(x))").alias("want"),
     ).first()
-    assert sorted(row.d) == sorted(row.want)
+    assert sorted(row.d) == sorted(row.smaller) == sorted(row.want) and row.failed is None and row.folds and row.held == 300
 
 
 def base_pii(t):
