@@ -170,6 +170,9 @@ def test_chat_round_trip(spark):
     }
     assert got[1] == ([("user", "a <|im_end|> b"), ("user", ""), ("assistant", "<\\|x"), ("assistant", "<\\|x")], "<\\|x<\\|x")
     assert got[None] == ([("", "only")], "")
+    roles = ["\u0000\u0001", "\\n", "\\b\n\\", "<|\\<\\|", "\\\\n"]
+    odd = chat.format_chats(spark.createDataFrame([(1, n, r, "t") for n, r in enumerate(roles)], "conv_id long, turn long, role string, text string"))
+    assert [t.role for t in odd.select(chat.parse_chats(F.col("formatted")).alias("turns")).first().turns] == roles
     assert got[2] == ([("we\\ird\n<|", "<"), ("assistant", "|<|turn|>\n")], "|<|turn|>\n")
     assert chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
