@@ -65,3 +65,19 @@ def test_registry_needs_no_session():
     code = "import __spark_entry__ as e; assert len(e.queries()) > 140 and len(e.oracle_sql()) > 130"
     root = os.path.dirname(os.path.abspath(entry_module.__file__))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+@pytest.mark.parametrize("name, source", [("stream_scored", "documents"), ("stream_dedup", "events"), ("stream_trend", "events")])
+def test_streams_read_tables_of_many_files(spark, tmp_path, name, source):
+    df = spark.range(40).withColumnRenamed("id", "doc_id").selectExpr(
+        "doc_id", "concat('idiot number ', doc_id) as text", "'en' as lang", "concat('s', doc_id % 3) as source",
+        "doc_id as event_id", "timestamp_seconds(1704067200 + doc_id) as ts", "'click' as event_type", "1.5D as value",
+    )
+    for folder, parts in (("one", 1), ("many", 3)):
+        df.repartition(parts).write.parquet(str(tmp_path / folder / f"{source}.parquet"))
+    (file,) = (tmp_path / "one" / f"{source}.parquet").glob("*.parquet")
+    (tmp_path / "file").mkdir()
+    os.link(file, tmp_path / "file" / f"{source}.parquet")
+    run = entry_module.queries()[name]
+    want, got = (sorted(map(repr, run(spark, str(tmp_path / f)).collect())) for f in ("file", "many"))
+    assert got == want and want
