@@ -86,6 +86,14 @@ def folded(df: DataFrame, key: str, folds: int = 3, seed: int = 42, label: str |
     return ranked.withColumn("fold", fold).select(*df.columns, "fold")
 
 
+def written_folds(df: DataFrame, key: str, folds: int = 3, seed: int = 42, label: str | None = None) -> DataFrame:
+    """``folded`` as a table of the shared folder: dealt out once, however many fits read it."""
+    data, spark = folded(df, key, folds, seed, label), df.sparkSession
+    folder = scratch_folder(spark, "folds")
+    data.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(data.schema).parquet(folder)
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``n / (classes * class size)``."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
@@ -332,7 +340,7 @@ def grid_search(
     Each fit and each evaluation is a distributed job; the driver only keeps one
     number per cell.
     """
-    data = folded(df, key, folds, seed, label)
+    data = written_folds(df, key, folds, seed, label)
     names = list(grid)
     cells = list(product(*grid.values()))
 
@@ -371,7 +379,7 @@ def out_of_fold_scores(
     *, folds: int = 3, seed: int = 42, **params,
 ) -> DataFrame:
     """``(key, y_true, y_score)``: each row scored by a model that has not seen it."""
-    data = folded(df, key, folds, seed, label)
+    data = written_folds(df, key, folds, seed, label)
     parts = []
     for fold in range(folds):
         model = trainer(data.filter(F.col("fold") != fold), features, label, **params)
@@ -399,7 +407,7 @@ def feature_ablation(
     full = train_random_forest(train, features, label, **forest)
     ranked = sorted(features, key=lambda f: (-full.importance[f], f))
     spark, rows = train.sparkSession, []
-    data = folded(train, key, folds, label=label)
+    data = written_folds(train, key, folds, label=label)
     seen, held = data.filter(F.col("fold") != folds - 1), data.filter(F.col("fold") == folds - 1)
     for name, chosen in [("all", list(features))] + [(f"top_{k}", ranked[:k]) for k in tops]:
         model = full if name == "all" else train_random_forest(train, chosen, label, **forest)

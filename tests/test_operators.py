@@ -246,3 +246,17 @@ def test_types_come_from_the_values(spark):
     # f is missing throughout, g is whole numbers with one missing, i mixes a number and a boolean
     assert got == {"int64": 1, "float64": 4, "bool": 1, "object": 2}
     assert {r["dtype"]: r["columns"] for r in P.dtype_counts(df.limit(0)).collect()} == {"object": 8}
+
+
+def test_grid_search_deals_folds_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, i % 2, float((i * 7) % 11 + i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, y int, x double").repartition(2).mapInArrow(seen, "id long, y int, x double")
+    out = L.grid_search(df, ["x"], "y", "id", L.train_l2_logistic, {"c": (0.1, 1.0)}, parallel=1)
+    assert out.count() == 2 and reads.value <= 2 * len(rows)  # once for bucket counts, once for the rows
