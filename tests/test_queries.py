@@ -81,3 +81,9 @@ def test_streams_read_tables_of_many_files(spark, tmp_path, name, source):
     run = entry_module.queries()[name]
     want, got = (sorted(map(repr, run(spark, str(tmp_path / f)).collect())) for f in ("file", "many"))
     assert got == want and want
+
+
+@pytest.mark.parametrize("name", ["linear_attribution", "top_features", "eda_class_summary", "eda_top_features", "eda_correlation_matrix"])
+def test_reports_compute_features_once(spark, name):
+    plan = entry_module.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
