@@ -58,6 +58,11 @@ def labelled(spark, sf_dir, only=I.PLAIN_FEATURES):
     return I.labelled(spark, sf_dir, only=tuple(only))
 
 
+def measured(spark, sf_dir, only=I.PLAIN_FEATURES):
+    """The same as a written table, for reports that read it more than once."""
+    return I.written(labelled(spark, sf_dir, only), "features")
+
+
 # --- table quality ----------------------------------------------------------
 
 @query("eda_missing", """
@@ -227,7 +232,7 @@ _KEPT = Q.LABELLED + f", kept AS MATERIALIZED (SELECT toxic, {', '.join(FEATURES
 
 @query("eda_correlation_matrix", f"{_KEPT} {_matrix_sql('kept', FEATURES)}")
 def eda_correlation_matrix(spark, sf_dir):
-    df = correlation_matrix(labelled(spark, sf_dir), FEATURES)
+    df = correlation_matrix(measured(spark, sf_dir), FEATURES)
     return df.withColumn("correlation", F.round("correlation", 4))
 
 
@@ -246,7 +251,7 @@ mat AS ({_matrix_sql('kept', [*FEATURES, 'toxic'])})
 SELECT feature_a, feature_b, correlation FROM mat
 WHERE feature_a IN (SELECT feature FROM names) AND feature_b IN (SELECT feature FROM names)""")
 def eda_top_correlations(spark, sf_dir):
-    df = P.top_correlations(labelled(spark, sf_dir), "toxic", FEATURES)
+    df = P.top_correlations(measured(spark, sf_dir), "toxic", FEATURES)
     return df.withColumn("correlation", F.round("correlation", 4))
 
 
@@ -276,7 +281,7 @@ FROM eff JOIN (SELECT feature, median(value) FILTER (label = 1) AS q1,
 
 @query("eda_top_features", f"{LONG}, {EFFECT} {_TOP.format(cat=CATEGORY)}")
 def eda_top_features(spark, sf_dir):
-    return P.top_features(labelled(spark, sf_dir), "toxic", FEATURES, category_of(F.col("feature")))
+    return P.top_features(measured(spark, sf_dir), "toxic", FEATURES, category_of(F.col("feature")))
 
 
 @query("eda_top_features_lines", f"{LINE_LONG}, {EFFECT} {_TOP.format(cat='NULL::VARCHAR')}")
@@ -313,7 +318,7 @@ GROUP BY g.feature, g.bin"""
 
 @query("eda_class_histograms", _class_hist_sql(LONG, BINARY))
 def eda_class_histograms(spark, sf_dir):
-    return P.class_histograms(labelled(spark, sf_dir), "toxic", FEATURES, BINARY)
+    return P.class_histograms(measured(spark, sf_dir), "toxic", FEATURES, BINARY)
 
 
 @query("eda_class_histograms_lines", _class_hist_sql(LINE_LONG, []))
@@ -339,7 +344,7 @@ GROUP BY g.feature, g.label, g.bin"""
 
 @query("eda_histograms40", _hist40_sql(LONG))
 def eda_histograms40(spark, sf_dir):
-    return centred(P.feature_histograms(labelled(spark, sf_dir), "toxic", FEATURES))
+    return centred(P.feature_histograms(measured(spark, sf_dir), "toxic", FEATURES))
 
 
 @query("eda_histograms40_lines", _hist40_sql(LINE_LONG))
@@ -353,7 +358,7 @@ _SUMMARY = """SELECT feature, label, min(value) AS min, max(value) AS max, round
 
 @query("eda_class_summary", f"{LONG} {_SUMMARY}")
 def eda_class_summary(spark, sf_dir):
-    return r6(P.class_summary(labelled(spark, sf_dir), "toxic", FEATURES), "mean", "std")
+    return r6(P.class_summary(measured(spark, sf_dir), "toxic", FEATURES), "mean", "std")
 
 
 _WORDY = ["profanity_count", "slang_count", "obfuscated_profanity_count"]
@@ -378,7 +383,7 @@ def eda_profanity_slang_histograms(spark, sf_dir):
 
 @query("eda_text_shape", _hist40_sql(_only(SHAPE)))
 def eda_text_shape(spark, sf_dir):
-    return centred(P.feature_histograms(labelled(spark, sf_dir, SHAPE), "toxic", SHAPE))
+    return centred(P.feature_histograms(measured(spark, sf_dir, SHAPE), "toxic", SHAPE))
 
 
 # --- identity ---------------------------------------------------------------
@@ -462,7 +467,7 @@ round(quantile_cont(value, 0.75), 6) AS q75 FROM long GROUP BY feature"""
 
 @query("eda_describe", _describe_sql(LONG))
 def eda_describe(spark, sf_dir):
-    df = P.describe(labelled(spark, sf_dir), FEATURES)
+    df = P.describe(measured(spark, sf_dir), FEATURES)
     return r6(df.withColumn("mean", F.round("mean", 8)), "std", "q25", "q50", "q75")
 
 
