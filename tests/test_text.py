@@ -1,10 +1,13 @@
 """Features against a plain-Python statement of each rule."""
 
 import re
+import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 
 from modlake.functions import lexicons as L
+from modlake.functions import text as X
 from modlake.plans.features import FEATURES, DenseFeatures, dense_features
 
 CASES = [
@@ -82,3 +85,18 @@ def test_nulls_names_and_transformer(spark):
     kept = DenseFeatures().transform(df)
     assert kept.columns == ["id", "comment_text", *FEATURES]
     assert DenseFeatures(keepInput=False).transform(df).columns == list(FEATURES)
+
+
+def test_upper_words(spark):
+    texts = ["AB a Ab aB A", "ÀÉ 12 A1 1A !A! -- X", "ǅA AǅB ẞẞ ªA", "\tNO YES\x1cOK.\n", "", "ΣΑΣ σΑ Ⅷ Ⅷx Ⓐ1"]
+    df = spark.createDataFrame(enumerate(texts), "i int, t string").select(
+        "i", X.upper_word_count(F.col("t")).alias("n"), X.upper_word_count(F.col("t"), shortest=1).alias("m"))
+    cased = [[w for w in re.split(r"[ \t\n\x1c ]+", t) if any(unicodedata.category(c) == "Lu" or c in "ⅧⒶ" for c in w)
+              and not any(unicodedata.category(c) in ("Ll", "Lt") or c == "ª" for c in w)] for t in texts]
+    got = {r.i: (r.n, r.m) for r in df.collect()}
+    assert got == {i: (sum(len(w) > 1 for w in ws), len(ws)) for i, ws in enumerate(cased)}
+
+
+def test_upper_words_are_one_search(spark):
+    plan = spark.range(1).select(X.upper_word_count(F.col("id").cast("string")).alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_count") == 1
