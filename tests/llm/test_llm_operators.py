@@ -470,3 +470,30 @@ def test_pipeline_stages_keep_clashing_columns_and_one_of_repeated_rows(spark):
 
 def pii_left(text):
     return re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
+
+
+def test_retries_take_stuck_shards_only(spark, monkeypatch):
+    # 40 digests differ and 400 agree: one shard of 24 cells cannot peel, later levels can.
+    df = spark.range(1).select(
+        F.expr("transform(sequence(1, 420), x -> xxhash64(x))").alias("x"), F.expr("transform(sequence(21, 440), x -> xxhash64(x))").alias("y"))
+    df = df.withColumns({f"{of}1": sketch.sketch(F.col(of), F.lit(1).cast("bigint")) for of in ("x", "y")})
+    whole = []
+    monkeypatch.setattr(sketch, "sketch", lambda digests, n, real=sketch.sketch: whole.append(digests) or real(digests, n))
+    assert sketch.with_likeness(df, "near", "x1", "y1", "x", "y").first().near == 400 / 440
+    assert not whole  # no text is sketched again as a whole
+
+
+def test_sketches_group_digests_once(spark):
+    df = spark.range(1).select(F.expr("transform(sequence(1, 3000), x -> xxhash64(x))").alias("x"))
+    one, many = (sketch.sketch(F.col("x"), F.lit(m).cast("bigint")) for m in (1, 512))
+    row = df.select((sketch.folded(many, F.lit(1).cast("bigint")) == one).alias("same"), F.size(many).alias("n")).first()
+    assert row.same and row.n == 512
+
+
+def test_words_are_found_again_after_the_cache_turned(spark):
+    codec = bpe.Codec(f"{bpe.TOKENIZERS}/byte_bpe_50k.json")
+    text = "one two three two one four one " * 3
+    want = codec.plain_ids(text)
+    for limit in (1, 2, 3):
+        codec.known = bpe.Recent(limit)
+        assert codec.plain_ids(text) == codec.plain_ids(text) == want
