@@ -112,13 +112,16 @@ class Codec:
         return out[::-1]
 
     def plain_ids(self, text: str) -> bytes:
-        known, parts = self.known, []
-        for word in self.words.findall(text):
-            ids = known.new.get(word) or known.get(word)
-            if ids is None:
-                ids = np.array(self.encode_word(word.encode()), "<u4").tobytes()
-                known.put(word, ids)
-            parts.append(ids)
+        known, words = self.known, self.words.findall(text)
+        parts = list(map(known.new.get, words))
+        if None in parts:
+            for i, ids in enumerate(parts):
+                if ids is None:
+                    ids = known.get(words[i])
+                    if ids is None:
+                        ids = np.array(self.encode_word(words[i].encode()), "<u4").tobytes()
+                        known.put(words[i], ids)
+                    parts[i] = ids
         return b"".join(parts)
 
     def encode(self, text: str) -> bytes:
