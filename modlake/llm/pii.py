@@ -156,14 +156,16 @@ def candidates(scanned: DataFrame) -> DataFrame:
     return seeds.unionByName(others).filter("pattern <> ''")
 
 
-def score_patterns(words: DataFrame, scratch: str, rounds: int = ROUNDS) -> DataFrame:
+def score_patterns(words: DataFrame, scratch: str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """pattern, confidence, support after some rounds over the pattern-instance graph.
 
     A pattern's confidence is the mean confidence of its instances, lowered for few of
     them; an instance that is no seed has, towards each pattern, the best confidence of
     its other patterns, so that no pattern lifts itself.  Each round's scores are written under
-    ``scratch``, so the plan does not grow with the rounds.
+    ``scratch`` (a new folder, unless one is given), so the plan does not grow with the rounds.
     """
+    scratch = scratch or scratch_folder(words.sparkSession, "pii-rounds")
+
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{scratch}/{name}")
         return words.sparkSession.read.parquet(f"{scratch}/{name}")
@@ -190,6 +192,15 @@ def score_patterns(words: DataFrame, scratch: str, rounds: int = ROUNDS) -> Data
     return scored
 
 
+def context_spans(words: DataFrame, confidence: float = CONFIDENCE, support: int = MIN_SUPPORT) -> DataFrame:
+    """doc_id and its ``context`` spans: unseen identifiers after patterns of high confidence."""
+    trusted = score_patterns(words).filter((F.col("confidence") >= confidence) & (F.col("support") >= support))
+    return (
+        words.filter(~F.col("seed")).join(trusted.select("pattern"), "pattern", "left_semi")
+        .groupBy("doc_id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("more"))
+    )
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, digest of the text, base spans, seeds and digit words of every row."""
     inner = key_text(docs).withColumn("digest", F.xxhash64("text"))
