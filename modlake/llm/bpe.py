@@ -7,7 +7,8 @@ the tokens that end at a position, back-pointers then give the ids.
 
 Null is encoded as the empty text.  Every input row gives one row; empty texts give no
 ids.  Words repeat, so each worker keeps the ids of words it has met (a bounded cache,
-for speed only).  No shuffle: one text is one row's work, and its memory is its own.
+for speed only), and texts are cut at blanks where a word must end: each different string of
+some megabytes of text is looked up once.  No shuffle: one text is one row's work.
 """
 
 from __future__ import annotations
@@ -15,14 +16,19 @@ from __future__ import annotations
 import hashlib
 import json
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from modlake.llm.common import TOKENIZERS, Recent, key_text, map_arrow, table
+from modlake.llm.common import TOKENIZERS, Recent, gathered, joined, key_text, map_arrow, slices, table
 
-#: Words a worker remembers.
-CACHE_WORDS = 400_000
+#: Words a worker remembers, and strings between blanks.
+CACHE_WORDS, CACHE_STRINGS = 400_000, 100_000
+#: Text bytes that are encoded in one step at most (one text may be longer).
+SLICE = 4 << 20
 #: The published word pattern of byte-level vocabularies.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -54,6 +60,10 @@ class Codec:
         self.rank = {
             (bytes(letters[c] for c in a), bytes(letters[c] for c in b)): n for n, (a, b) in enumerate(pairs)
         }
+        #: How each token is merged; only if there is one way.
+        self.parts = {a + b: (n, a, b) for (a, b), n in self.rank.items()}
+        self.one_way = len(self.parts) == len(self.rank) and all(len(x) > 1 for x in self.parts)
+        self.wholes: dict[bytes, bool] = {}
         self.ends = ahocorasick.Automaton()
         for token in self.id_of:
             self.ends.add_word(token.decode("latin-1"), token)
@@ -62,7 +72,9 @@ class Codec:
         self.special = special
         self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.known = Recent(CACHE_WORDS)
+        self.known, self.strings = Recent(CACHE_WORDS), Recent(CACHE_STRINGS)
+        self.tokens = pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], pa.large_binary())
+        self.unused = np.array([i not in self.bytes_of for i in range(len(self.tokens))])
 
     def merged(self, text: bytes) -> list[bytes]:
         """Plain merging by rank, for the pair test on two tokens only."""
@@ -83,28 +95,55 @@ class Codec:
             parts = out
         return parts
 
+    def whole(self, token: bytes) -> bool:
+        """Does merging the token's bytes give the token?"""
+        ok = self.wholes.get(token)
+        if ok is None:
+            ok = self.wholes[token] = self.merged(token) == [token]
+        return ok
+
+    def apart(self, a: bytes, b: bytes) -> bool:
+        """Does merging ``a + b`` give the two tokens, each of which its own bytes give?
+
+        The merges that made the two are taken back, the last first: none may come later than
+        a merge across the cut that was possible by then.
+        """
+        first, none = len(self.rank), (-1, b"", b"")
+        while True:
+            rank = self.rank.get((a, b))
+            if rank is not None and rank < first:
+                return False
+            left, right = self.parts.get(a, none), self.parts.get(b, none)
+            if left[0] > right[0]:
+                first, a = left[0], left[2]
+            elif right[0] >= 0:  # of equal merges the one across the cut is further left
+                first, b = right[0] + 1, right[1]
+            else:
+                return True
+
     def compatible(self, a: bytes, b: bytes) -> bool:
         ok = self.fits.get((a, b))
         if ok is None:
             if len(self.fits) > 4 * CACHE_WORDS:
                 self.fits.clear()
-            ok = self.fits[a, b] = self.merged(a + b) == [a, b]
+            if self.one_way:
+                ok = self.whole(a) and self.whole(b) and self.apart(a, b)
+            else:
+                ok = self.merged(a + b) == [a, b]
+            self.fits[a, b] = ok
         return ok
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one word by the unique last token of every prefix."""
-        if word in self.id_of and self.merged(word) == [word]:
+        if word in self.id_of and self.whole(word):
             return [self.id_of[word]]
-        tokens_at: list[list[bytes]] = [[] for _ in word]
-        for end, token in self.ends.iter(word.decode("latin-1")):
-            tokens_at[end].append(token)
         last: list[bytes | None] = [b""] + [None] * len(word)
-        for end in range(1, len(word) + 1):
-            for token in tokens_at[end - 1]:
-                before = last[end - len(token)]
-                if before is not None and (not before or self.compatible(before, token)):
-                    last[end] = token
-                    break
+        fits = self.fits
+        for end, token in self.ends.iter(word.decode("latin-1")):  # by end, the longest first
+            if last[end + 1] is None:
+                before = last[end + 1 - len(token)]
+                if before is not None and (not before or fits.get((before, token)) or self.compatible(before, token)):
+                    last[end + 1] = token
         out, at = [], len(word)
         while at:
             out.append(self.id_of[last[at]])
@@ -134,6 +173,49 @@ class Codec:
             at = m.end()
         return b"".join([*parts, self.plain_ids(text[at:])])
 
+    def encode_all(self, texts: list[str]) -> pa.LargeBinaryArray:
+        """``encode`` of every text, by the different strings between blanks.
+
+        No word goes on from other characters to white space, and white space leaves its last
+        character to what follows: a word ends before every blank that has no white space on one side.
+        """
+        pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends, flat = pieces.offsets.to_numpy(), pieces.flatten().dictionary_encode()
+        found, of = flat.dictionary.to_pylist(), flat.indices.to_numpy().copy()
+        opens = np.fromiter((not x or x[0].isspace() for x in found), bool, len(found))
+        closes = np.fromiter((not x or x[-1].isspace() for x in found), bool, len(found))
+        inside = closes[of[:-1]] & opens[of[1:]]
+        inside[ends[1:-1] - 1] = False  # between two texts
+        odd = set(np.searchsorted(ends, np.flatnonzero(inside), "right") - 1)
+        if self.cut:
+            odd.update(i for i, t in enumerate(texts) if any(x in t for x in self.special))
+        # The string that begins a text has no blank before it.
+        heads = [found[i] for i in of[ends[:-1]].tolist()]
+        of[ends[:-1]] = len(found) + np.arange(len(heads))
+        strings, held = [" " + x for x in found] + heads, self.strings
+        ids = list(map(held.new.get, strings))
+        for i, x in enumerate(ids):
+            if x is None:
+                ids[i] = held.get(strings[i])
+                if ids[i] is None:
+                    ids[i] = self.plain_ids(strings[i])
+                    held.put(strings[i], ids[i])
+        out = joined(pa.array(ids, pa.large_binary()), of, ends)
+        if not odd:
+            return out
+        rows = out.to_pylist()
+        for i in odd:
+            rows[i] = self.encode(texts[i])
+        return pa.array(rows, pa.large_binary())
+
+    def decode_all(self, ids: pa.LargeBinaryArray) -> list[str]:
+        """``decode`` of every row."""
+        data, ends = gathered(ids)
+        number = np.frombuffer(data, "<u4")
+        if len(number) and (number.max() >= len(self.unused) or self.unused[number].any()):
+            raise KeyError("an id that the vocabulary does not have")
+        return [b.decode("utf-8", "replace") for b in joined(self.tokens, number, ends // 4).to_pylist()]
+
     def decode(self, ids: bytes) -> str:
         data = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return data.decode("utf-8", "replace")
@@ -145,14 +227,14 @@ def encode(docs: DataFrame, path: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> Da
     def start():
         codec = Codec(path)
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
-            back = [hashlib.sha256(codec.decode(i).encode("utf-8", "replace")).hexdigest() for i in ids]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array(ids, pa.binary()), pa.array(back, pa.string())],
-                names=["doc_id", "n_tokens", "ids", "decoded_sha256"],
-            )
+        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part in slices(batch, "text", SLICE):
+                ids = codec.encode_all([t or "" for t in part.column(1).to_pylist()])
+                back = [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in codec.decode_all(ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pc.divide(pc.binary_length(ids), 4), ids.cast(pa.binary()), pa.array(back, pa.string())],
+                    names=["doc_id", "n_tokens", "ids", "decoded_sha256"],
+                )
 
         return work
 

@@ -497,3 +497,45 @@ def test_words_are_found_again_after_the_cache_turned(spark):
     for limit in (1, 2, 3):
         codec.known = bpe.Recent(limit)
         assert codec.plain_ids(text) == codec.plain_ids(text) == want
+
+
+ODD = [" ", "  ", "\n", "\t", "a", "Bc", "1", "23", ".", ",", "'s", "é", "　", "\x1c", "\x85", "<|endoftext|>", "<|", "İ", "ς", "Σ", "e\u0301", "日本"]
+
+
+def test_strings_between_blanks_give_the_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    path, r = f"{TOKENIZERS}/byte_bpe_50k.json", random.Random(11)
+    tok, codec = Tokenizer.from_file(path), bpe.Codec(path)
+    texts = ["", " ", "  ", " a", "  a", "a  b", "a ", "a  ", "a \n b", "a\n  b", "x \x1c \x1c", "    if x:\n        y = 1\n\n    z"]
+    texts += ["".join(r.choice(ODD) for _ in range(r.randrange(14))) for _ in range(2000)]
+    ids = codec.encode_all(texts)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids.to_pylist()] == want
+    assert codec.decode_all(ids) == [tok.decode(i, skip_special_tokens=False) for i in want]
+    assert codec.encode_all([]).to_pylist() == codec.decode_all(codec.encode_all([])) == []
+    looked = []
+    codec.plain_ids = lambda text, real=codec.plain_ids: looked.append(text) or real(text)
+    codec.encode_all(["blue stones rolling", "rolling blue stones"] * 50)
+    assert len(looked) <= 6  # each different string once, at the front of a text and after a blank
+
+
+def test_taking_merges_back_agrees_with_merging():
+    codec, r = bpe.Codec(f"{TOKENIZERS}/byte_bpe_50k.json"), random.Random(12)
+    tokens = sorted(codec.id_of)
+    short = [t for t in tokens if len(t) < 4]
+    pairs = [(r.choice(x), r.choice(y)) for x in (tokens, short) for y in (tokens, short) for _ in range(1500)]
+    pairs += [(t, t) for t in short[:3000]] + [(b"a" * i, b"a" * j) for i in range(1, 9) for j in range(1, 9)]
+    pairs = [(a, b) for a, b in pairs if a in codec.id_of and b in codec.id_of]
+    assert codec.one_way and all(codec.compatible(a, b) == (codec.merged(a + b) == [a, b]) for a, b in pairs)
+
+
+def test_token_files_look_up_each_string_once():
+    path, r = f"{TOKENIZERS}/word_bpe_49k.json", random.Random(13)
+    enc, one = token_files.Encoder(path, 2), token_files.Encoder(path, 2)
+    texts = ["", " ", "a  b"] + ["".join(r.choice(ODD) for _ in range(r.randrange(14))) for _ in range(2000)]
+    assert enc.encode_all(texts) == [one.encode(t) for t in texts]
+    looked = []
+    enc.word = lambda word, real=enc.word: looked.append(word) or real(word)
+    enc.encode_all(["Blue-stone rolling-on", "rolling-on blue-stone"] * 50)
+    assert sorted(looked) == ["blue-stone", "rolling-on"] and enc.encode_all([]) == []
