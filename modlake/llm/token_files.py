@@ -24,17 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modlake.llm.bpe import byte_letters
-from modlake.llm.common import TOKENIZERS, Recent, key_text, table
+from modlake.llm.common import TOKENIZERS, Recent, joined, key_text, slices, table
 from modlake.session import scratch_folder
 
 #: Raw bytes after which a frame is closed.
 FRAME_BYTES = 1 << 20
 #: White-space-separated strings a worker remembers.
 CACHE_WORDS = 500_000
+#: Text bytes that are encoded in one step at most (one text may be longer).
+SLICE = 8 << 20
 SKIPPABLE, MAGIC = 0x184D2A5E, 0x5A544944
 DOC, FRAME, FOOT = "<qIII", "<QIII", "<IIII"
 
@@ -79,6 +82,21 @@ class Encoder:
             ids = [i or known.get(w) or self.word(w) for i, w in zip(ids, words, strict=True)]
         return b"".join(ids) + self.end
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of every text; each different string of them is looked up once."""
+        odd = [i for i, t in enumerate(texts) if self.special.search(t)]
+        words = pc.utf8_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        flat, known = words.flatten().dictionary_encode(), self.known
+        found = flat.dictionary.to_pylist()
+        ids = list(map(known.new.get, found))
+        if None in ids:
+            ids = [i or known.get(w) or self.word(w) for i, w in zip(ids, found, strict=True)]
+        rows = joined(pa.array(ids, pa.large_binary()), flat.indices.to_numpy(), words.offsets.to_numpy())
+        out = [x + self.end for x in rows.to_pylist()]
+        for i in odd:
+            out[i] = self.encode(texts[i])
+        return out
+
     def word(self, word: str) -> bytes:
         """Ids of one string without white space; letters and a closing mark are two parts of it."""
         plain = self.plain.fullmatch(word)
@@ -188,8 +206,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> Data
 
         def rows() -> Iterator[tuple[int, bytes]]:
             for batch in batches:
-                for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                    yield (-(1 << 63) if not a.is_valid else a.as_py()), encoder.encode(b.as_py() or "")
+                for part in slices(batch, "text", SLICE):
+                    keys = pc.fill_null(part.column(0), -(1 << 63)).to_pylist()
+                    yield from zip(keys, encoder.encode_all([t or "" for t in part.column(1).to_pylist()]), strict=True)
 
         n, total = write_file(folder, name, rows())
         yield pa.RecordBatch.from_pydict({"name": [name], "number": [number], "docs": [n], "ids": [total]})
