@@ -539,3 +539,15 @@ def test_token_files_look_up_each_string_once():
     enc.word = lambda word, real=enc.word: looked.append(word) or real(word)
     enc.encode_all(["Blue-stone rolling-on", "rolling-on blue-stone"] * 50)
     assert sorted(looked) == ["blue-stone", "rolling-on"] and enc.encode_all([]) == []
+
+
+def test_maps_of_repeats_grow_with_their_keys(spark, tmp_path, monkeypatch):
+    assert [repeats.wanted_bits(n) for n in (0, 5_000_000, 100_000_000, 1 << 40)] == [26, 26, 30, 30]
+    sizes = []
+    monkeypatch.setattr(repeats, "key_map", lambda keys, bits, real=repeats.key_map: sizes.append((keys.count(), bits)) or real(keys, bits))
+    texts = {i: prose(i % 20, 40) + " " + prose(i, 20) for i in range(60)}
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    rows = repeats.strip(df, str(tmp_path / "r"), 6).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows}
+    assert got == repeats.brute_force(texts)
+    assert len(sizes) == 2 and all(1 << bits >= 8 * n for n, bits in sizes) and sizes[0][0] > 8
