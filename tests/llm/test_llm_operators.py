@@ -551,3 +551,14 @@ def test_maps_of_repeats_grow_with_their_keys(spark, tmp_path, monkeypatch):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows}
     assert got == repeats.brute_force(texts)
     assert len(sizes) == 2 and all(1 << bits >= 8 * n for n, bits in sizes) and sizes[0][0] > 8
+
+
+def test_unrelated_texts_share_no_key_and_open_no_place(spark):
+    """Halves of so many keys meet by chance, which grew with the square of the input."""
+    r = np.random.default_rng(3)
+    texts = [(i, bytes(r.integers(97, 123, 1 << 17, dtype=np.uint8)).decode()) for i in range(16)]
+    keyed = repeats.keyed_docs(spark.createDataFrame(texts, "doc_id long, text string").repartition(4))
+    assert repeats.shared_keys(keyed).count() == 0
+    every = spark.sparkContext.broadcast(np.full(1, -1, np.int64))
+    places = repeats.sorted_out(repeats.occurrences(keyed, every, 6))
+    assert places.count() == 0
